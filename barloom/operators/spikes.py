@@ -39,8 +39,8 @@ STUCK_DAYS = 6
 #: Sources that repeat their price on more than this share of days are quiet, not stuck.
 QUIET_SHARE = 0.25
 #: Score from which a reading stands out and is put to the rules.
-SCORE = 0.5
-TREES, SAMPLE, DEPTH = 24, 128, 7
+SCORE = 0.45
+TREES, SAMPLE, DEPTH = 16, 128, 7
 HALF, SIDE = 10, 5
 FOUND_SCHEMA = "bar_id long, code string, day date, field string, value double, score double, rule string"
 
@@ -120,7 +120,8 @@ def grow_forest(x: np.ndarray, seed: int, trees: int = TREES, sample: int = SAMP
     counts = np.zeros((trees, nodes))
     np.add.at(counts, (np.broadcast_to(tree, node.shape), node), 1)
     deep = np.floor(np.log2(np.arange(nodes) + 1))
-    return {"feature": feature, "cut": cut, "path": deep + _average_path(counts), "norm": max(float(_average_path(np.array([float(size)]))[0]), 1e-9), "depth": depth}
+    path = np.where(counts > 0, deep + _average_path(counts), np.where(feature < 0, deep, 0.0))
+    return {"feature": feature, "cut": cut.astype(np.float32), "path": path.astype(np.float32), "norm": max(float(_average_path(np.array([float(size)]))[0]), 1e-9), "depth": depth}
 
 
 def _average_path(n: np.ndarray) -> np.ndarray:
@@ -132,87 +133,85 @@ def _average_path(n: np.ndarray) -> np.ndarray:
 
 def forest_scores(forest: dict, x: np.ndarray) -> np.ndarray:
     """2 ** (-mean path / norm): near 1 is lonely, 0.5 and less is ordinary."""
-    feature, cut = forest["feature"], forest["cut"]
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
-    for t in range(len(feature)):
-        node = np.zeros(len(x), np.int64)
-        for _ in range(forest["depth"]):
-            f = feature[t][node]
-            node = np.where(f >= 0, 2 * node + 1 + (x[rows, np.maximum(f, 0)] >= cut[t][node]), node)
-        total += forest["path"][t][node]
-    return 2.0 ** (-total / len(feature) / forest["norm"])
-
-
-def _features(lv: np.ndarray, d: np.ndarray, m: dict, field: str, run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    trees, nodes = forest["feature"].shape
+    feature, cut = forest["feature"].ravel(), forest["cut"].ravel()
+    x, rows = x.astype(np.float32).ravel(), (np.arange(len(x)) * x.shape[1])[None, :]
+    first = (np.arange(trees) * nodes)[:, None]
+    node = np.zeros((trees, rows.shape[1]), np.int64)
+    for _ in range(forest["depth"]):
+        at = first + node
+        f = feature[at]
+        node = np.where(f >= 0, 2 * node + 1 + (x[rows + np.maximum(f, 0)] >= cut[at]), node)
+    return 2.0 ** (-forest["path"].ravel()[first + node].mean(axis=0) / forest["norm"])
+
+
+def _features(lv: np.ndarray, d: np.ndarray, m: dict, run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of readings with logarithm ``lv`` at history places ``d``; their excursions; their levels."""
-    level, left, right, s = m["level"][d], m[field + "_left"][d], m[field + "_right"][d], m["scale"]
+    level, s = m["level"][d], m["scale"]
     off = lv - level
-    a, b = (lv - left) / (s * m[field + "_gap_l"][d]), (lv - right) / (s * m[field + "_gap_r"][d])
+    a, b = (lv - m["left"][d]) / (s * m["gap_l"][d]), (lv - m["right"][d]) / (s * m["gap_r"][d])
     one = np.where(np.isnan(a), b, a)
     other = np.where(np.isnan(b), a, b)
     same = np.sign(one) == np.sign(other)
     exc = np.where(same, np.minimum(np.abs(one), np.abs(other)), 0.0)
     exc = np.where(np.isnan(exc), 0.0, exc)
     z = np.abs(np.where(np.isnan(off), 0.0, off)) / s
-    x = np.stack([np.log1p(z), np.log1p(exc), np.log1p(z / m["season"][m["weekday"][d]]), np.log1p(run)], axis=1)
+    x = np.stack([np.log1p(z), np.log1p(exc), np.log1p(z / m["season"][(m["day"][d] + 3) % 7]), np.log1p(run)], axis=1)
     return x, exc, level
 
 
 def source_model(h: pd.DataFrame) -> dict:
     """The model of one source from its history: a row a day with n, and for each field the
-    number, least, largest and mean logarithm of its positive usable values, and the one value
-    of the day if there is only one."""
+    least and the largest of its positive usable values."""
     h = h.sort_values("day", ignore_index=True)
     days = len(h)
-    stack = np.stack([h[f"{f}_{k}"].to_numpy(float) for f in FIELDS for k in ("lo", "hi")], axis=1)
+    with np.errstate(invalid="ignore"):
+        stack = np.log(np.stack([h[f"{f}_{k}"].to_numpy(float) for f in FIELDS for k in ("least", "most")], axis=1))
     level = _row_nanmedian(_windows(stack, HALF))
-    reps = {}
-    for f in FIELDS:
-        cand = np.stack([h[f"{f}_{k}"].to_numpy(float) for k in ("lo", "hi", "mean")], axis=1)
+    reps = []
+    for k in range(len(FIELDS)):
+        cand = stack[:, 2 * k : 2 * k + 2]
         gap = np.abs(cand - level[:, None])
         gap[np.isnan(gap)] = np.inf
-        reps[f] = cand[np.arange(days), np.argmin(gap, axis=1)]
-    moves = np.concatenate([np.abs(np.diff(r[~np.isnan(r)])) for r in reps.values()] or [np.zeros(1)])
+        reps.append(cand[np.arange(days), np.argmin(gap, axis=1)])
+    moves = np.concatenate([np.abs(np.diff(r[~np.isnan(r)])) for r in reps])
     tick = 0.0005 / np.exp(np.nanmedian(level)) if np.isfinite(level).any() else 1e-4
     scale = max(float(np.median(moves)) if len(moves) else 0.0, tick)
-    both = np.stack([reps[f] for f in FIELDS], axis=1)
-    clean = np.where(np.abs(both - level[:, None]) < max(12 * scale, 3e-3), both, np.nan)
+    both = np.stack(reps, axis=1)
+    with np.errstate(invalid="ignore"):
+        clean = np.where(np.abs(both - level[:, None]) < max(12 * scale, 3e-3), both, np.nan)
     level = np.where(np.isnan(x := _row_nanmedian(_windows(clean, HALF))), level, x)
-    date = h["day"].to_numpy().astype("datetime64[D]").astype(np.int64)
-    m = {"day": date, "level": level, "scale": scale, "weekday": ((date + 3) % 7).astype(np.int64)}
-    for f in FIELDS:
-        left, right, near_l, near_r = _sides(clean, SIDE)
-        m[f + "_left"], m[f + "_right"] = left, right
-        padded = np.r_[date, date[-1] if days else 0]
-        m[f + "_gap_l"] = np.sqrt(np.clip((date - np.where(near_l >= 0, date[near_l], date)) / 4.0, 1, None))
-        m[f + "_gap_r"] = np.sqrt(np.clip((np.where(near_r < days, padded[np.minimum(near_r, days)], date) - date) / 4.0, 1, None))
+    date = h["day"].to_numpy().astype("datetime64[D]").astype(np.int32)
+    left, right, near_l, near_r = _sides(clean, SIDE)
+    padded = np.r_[date, date[-1]]
+    gap_l = np.sqrt(np.clip((date - np.where(near_l >= 0, date[near_l], date)) / 4.0, 1, None))
+    gap_r = np.sqrt(np.clip((np.where(near_r < days, padded[np.minimum(near_r, days)], date) - date) / 4.0, 1, None))
+    small = lambda v: v.astype(np.float32)
+    m = {"day": date, "level": small(level), "left": small(left), "right": small(right), "gap_l": small(gap_l), "gap_r": small(gap_r), "scale": scale}
     move = np.abs(np.diff(np.nan_to_num(level, nan=0.0), prepend=level[:1]))
     usual = np.median(move) or scale
+    weekday = (date + 3) % 7
     season = np.ones(7)
     for k in range(7):
-        if (mine := m["weekday"] == k).sum() >= 8:
+        if (mine := weekday == k).sum() >= 8:
             season[k] = np.clip((np.median(move[mine]) or usual) / usual, 0.5, 2.0)
     m["season"] = season
-    for f in FIELDS:
+    xs = []
+    for k, f in enumerate(FIELDS):
         one = _run_values(h[f"{f}_least"].to_numpy(float), h[f"{f}_most"].to_numpy(float))
-        n = h[f"{f}_n"].to_numpy(float) > 0  # days without a usable value do not break a run
+        n = ~np.isnan(stack[:, 2 * k])  # days without a usable value do not break a run
         v = one[n]
         same = np.r_[False, v[1:] == v[:-1]] if len(v) else np.zeros(0, bool)
         rid = np.cumsum(~same)
-        length = np.bincount(rid)[rid] if len(v) else np.zeros(0, int)
-        run = np.ones(days)
+        run = np.ones(days, np.int16)
         later = np.zeros(days, bool)
-        run[n], later[n] = length, same
-        m[f + "_run"], m[f + "_later"], m[f + "_one"] = run, later, one
+        run[n], later[n] = np.bincount(rid)[rid] if len(v) else 0, same
+        m[f + "_run"], m[f + "_later"], m[f + "_one"] = run, later, np.where(run > 1, one, np.nan)
         m[f + "_quiet"] = float(same.mean()) if len(v) > 1 else 0.0
-    xs = []
-    for f in FIELDS:
-        ok = ~np.isnan(reps[f])
-        for k in ("lo", "hi"):
-            xs.append(_features(h[f"{f}_{k}"].to_numpy(float)[ok], np.flatnonzero(ok), m, f, m[f + "_run"][ok])[0])
-    x = np.concatenate(xs) if xs else np.zeros((0, 4))
-    m["forest"] = grow_forest(x, seed=int(date[0]) if days else 0) if len(x) >= 8 else None
+        at = np.flatnonzero(n)
+        xs += [_features(stack[at, 2 * k + j], at, m, run[at].astype(float))[0] for j in range(2)]
+    x = np.concatenate(xs)
+    m["forest"] = grow_forest(x, seed=int(date[0])) if len(x) >= 8 else None
     return m
 
 
@@ -236,47 +235,37 @@ def _windows(values: np.ndarray, half: int) -> np.ndarray:
 def judge(rows: pd.DataFrame, m: dict) -> pd.DataFrame:
     """Scores of all readings of one source (or one salt of it) and the rule each offends, if any."""
     out = []
-    day = rows["day"].to_numpy().astype("datetime64[D]").astype(np.int64)
+    day = rows["day"].to_numpy().astype("datetime64[D]").astype(np.int32)
     d = np.clip(np.searchsorted(m["day"], day), 0, len(m["day"]) - 1)
     for f in FIELDS:
         v = rows[f].to_numpy(float)
         have = ~np.isnan(v)
-        if not have.any():
-            continue
         v, at = v[have], d[have]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            lv = np.where(v > 0, np.log(np.where(v > 0, v, 1.0)), np.nan)
+        positive = v > 0
+        level = m["level"][at]
+        lv = np.where(positive, np.log(np.where(positive, v, 1.0)), np.nan_to_num(level, nan=0.0) - 50.0)
         in_run = m[f + "_one"][at] == v
         run = np.where(in_run, m[f + "_run"][at], 1.0)
-        x, exc, level = _features(np.where(np.isnan(lv), level_or(m, at) - 50.0, lv), at, m, f, run)
+        x, exc, level = _features(lv, at, m, run)
         score = forest_scores(m["forest"], x) if m["forest"] else np.full(len(v), 1.0)
-        off = lv - level
-        tens = np.abs(off) / np.log(10.0)
+        tens = np.abs(lv - level) / np.log(10.0)
         unit = (np.round(tens) >= 1) & (np.abs(tens - np.round(tens)) < 0.12) & (exc > EXCURSION / 2)
         stands_out = score >= SCORE
         rule = np.full(len(v), None, object)
         rule[stands_out & in_run & m[f + "_later"][at] & (run >= STUCK_DAYS) & (m[f + "_quiet"] <= QUIET_SHARE)] = "stuck"
         rule[stands_out & (exc > EXCURSION)] = "excursion"
         rule[stands_out & unit] = "unit"
-        rule[v <= 0] = "limit"
-        keys = rows.loc[have, ["bar_id", "code", "day"]]
-        out.append(keys.assign(field=f, value=v, score=score, rule=rule))
-    if not out:
-        return pd.DataFrame({"bar_id": pd.Series([], dtype="int64"), "code": [], "day": [], "field": [], "value": pd.Series([], dtype=float), "score": pd.Series([], dtype=float), "rule": []})
+        rule[~positive] = "limit"
+        out.append(rows.loc[have, ["bar_id", "code", "day"]].assign(field=f, value=v, score=score, rule=rule))
     return pd.concat(out, ignore_index=True)
 
 
-def level_or(m: dict, at: np.ndarray) -> np.ndarray:
-    level = m["level"][at]
-    return np.where(np.isnan(level), 0.0, level)
-
-
 def daily_history(readings: DataFrame) -> DataFrame:
-    """At most a row per source and day; all aggregates combine map-side."""
+    """At most a narrow row per source and day; all aggregates combine map-side."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for f in FIELDS:
-        lv = F.when(F.col(f) > 0, F.log(F.col(f)))
-        aggs += [F.count(lv).alias(f"{f}_n"), F.min(lv).alias(f"{f}_lo"), F.max(lv).alias(f"{f}_hi"), F.avg(lv).alias(f"{f}_mean"), F.min(F.when(F.col(f) > 0, F.col(f))).alias(f"{f}_least"), F.max(F.when(F.col(f) > 0, F.col(f))).alias(f"{f}_most")]
+        positive = F.when(F.col(f) > 0, F.col(f))
+        aggs += [F.min(positive).alias(f"{f}_least"), F.max(positive).alias(f"{f}_most")]
     return readings.groupBy("code", "day").agg(*aggs)
 
 
@@ -295,8 +284,9 @@ def score_readings(readings: DataFrame, block_rows: int = 50_000, only_flagged:
     models = daily_history(readings).groupBy("code").applyInPandas(model, "code string, part int, parts int, model binary")
 
     def apply(rows: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
-        m = pickle.loads(models["model"].iloc[0]) if len(models) and len(rows) else None
-        out = judge(rows if m else rows.iloc[:0], m or {"day": np.zeros(1, np.int64)})
+        if not len(rows) or not len(models):
+            return pd.DataFrame({"bar_id": [], "code": [], "day": [], "field": [], "value": [], "score": [], "rule": []})
+        out = judge(rows, pickle.loads(models["model"].iloc[0]))
         return out[out["rule"].notna()] if only_flagged else out
 
     sizes = readings.groupBy("code").agg((F.floor(F.count(F.lit(1)) / block_rows) + 1).cast("int").alias("parts"))
