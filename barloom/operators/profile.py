@@ -13,9 +13,9 @@ how far it dominates; a load is expected to show, stratum by stratum, the masks
 of the other loads.  A changed mix of instruments thus changes the expectation
 too, and is no divergence.
 
-Scale: one narrow pass makes counts per (code, load, facet, mask) with partial
-aggregation; everything after works on counts whose number is bounded by
-loads x strata x masks.  Instruments join the counts by key.
+Scale: one narrow pass with partial aggregation finds the dominant masks of
+every instrument, a second one counts masks by load and stratum; everything
+after works on counts whose number is bounded by loads x strata x masks.
 
 Defined results: null and NaN and stand-ins are missing, each with its own
 mask; values without a code belong to a stratum of their own; an empty table
@@ -37,55 +37,71 @@ RARE = 0.001
 
 
 def value_mask(c: Column) -> Column:
-    """Digits generalised to 9, trailing zeros of the fraction left out: -12.50 is -99.9.
+    """The written number with its digits generalised to 9: -12.5 is -99.9."""
+    return F.translate(c.cast("string"), "012345678", "999999999")
 
-    Works on decimals, so that no number is written with an exponent."""
-    text = F.regexp_replace(c.cast("decimal(30,6)").cast("string"), r"\.?0+$", "")
-    return F.translate(text, "0123456789", "9999999999")
+
+def fraction_mask(value: Column) -> Column:
+    """The part of the mask after the point: the written precision."""
+    return F.concat(F.lit("."), F.substring_index(value_mask(value), ".", -1))
+
+
+def time_mask(c: Column) -> Column:
+    """15h for any time from 15:00:00 to 15:59:59, midnight for a date without a time."""
+    bare = (F.hour(c) == 0) & (F.minute(c) == 0) & (F.second(c) == 0)
+    return F.when(bare, "midnight").when(c.isNotNull(), F.concat(F.hour(c).cast("string"), F.lit("h")))
 
 
 def unit_class(value: Column, usual: Column) -> Column:
     """Tens by which a price is off the instrument's usual level: 0, or the power of ten from a factor of 5.6 on."""
     tens = F.log10(F.abs(value) / usual)
-    return F.when(value == 0, F.lit(None)).when(F.abs(tens) < 0.75, F.lit(0)).otherwise(F.greatest(F.lit(-6), F.least(F.lit(6), F.round(tens).cast("int"))))
+    return F.when(value == 0, F.lit(None)).when(F.abs(tens) < 0.75, F.lit(0)).otherwise(F.greatest(F.lit(-6), F.least(F.lit(6), F.rint(tens).cast("int"))))
 
 
-def mask_facets(bars: DataFrame, stand_ins: list[float]) -> DataFrame:
-    """load_id, code, and one array of (field, facet, mask) structs a row."""
-    usual = bars.where(is_code(F.col("code"))).groupBy("code").agg(*(F.percentile_approx(F.when(usable(F.col(f), stand_ins) > 0, F.col(f)), 0.5, 50).alias(f"u_{f}") for f in ("open", "close")))
-    rows = bars.select("load_id", F.when(is_code(F.col("code")), F.col("code")).alias("code"), "open", "close", "date").join(usual, "code", "left")
-    facets = []
-    for f in ("open", "close"):
-        c = F.col(f)
-        kind = F.when(c.isNull() | F.isnan(c), MISSING).when(usable(c, stand_ins).isNull(), MISSING).otherwise("given")
-        facets.append((f, "missing", kind))
-        good = usable(c, stand_ins)
-        # the written precision: the fraction of the mask; numbers far from the instrument's unit say nothing about it
-        unit = unit_class(good, F.col(f"u_{f}"))
-        facets.append((f, "unit", unit.cast("string")))
-        decimals = F.length(F.regexp_extract(F.regexp_replace(good.cast("decimal(30,6)").cast("string"), "0+$", ""), r"\.([0-9]*)$", 1))
-        facets.append((f, "precision", F.when(unit == 0, F.concat(F.lit("."), F.repeat(F.lit("9"), decimals)))))
-    day_time = F.date_format("date", "HH:mm:ss")
-    facets.append(("date", "missing", F.when(F.col("date").isNull(), MISSING).otherwise("given")))
-    facets.append(("date", "hour", F.when(day_time == "00:00:00", F.lit("midnight")).otherwise(F.concat(F.substring(day_time, 1, 2), F.lit("h")))))
-    packed = F.array(*(F.struct(F.lit(f).alias("field"), F.lit(k).alias("facet"), m.alias("mask")) for f, k, m in facets))
-    return rows.select("load_id", F.coalesce("code", F.lit("?")).alias("code"), F.explode(packed).alias("x")).select("load_id", "code", "x.*").where("mask is not null")
+def _explode_masks(rows: DataFrame, facets: list[tuple], *keep: str) -> DataFrame:
+    packed = F.array(*(F.struct(F.lit(name).alias("facet"), *(c.alias(a) for a, c in cols)) for name, *cols in facets))
+    return rows.select(*keep, F.explode(packed).alias("x")).select(*keep, "x.*").where("mask is not null")
 
 
-def mask_counts(bars: DataFrame, stand_ins: list[float]) -> DataFrame:
-    """load_id, code, field, facet, mask, n."""
-    return mask_facets(bars, stand_ins).groupBy("load_id", "code", "field", "facet", "mask").agg(F.count(F.lit(1)).alias("n"))
+def instrument_habits(bars: DataFrame, stand_ins: list[float]) -> DataFrame:
+    """code, u_open, u_close (usual level) and a small number for each of the instrument's dominant
+    fraction masks and hours and how far they dominate: its strata.  One narrow row per instrument."""
+    rows = bars.where(is_code(F.col("code")))
+    good = {f: usable(F.col(f), stand_ins) for f in ("open", "close")}
+    usual = rows.groupBy("code").agg(*(F.percentile_approx(F.when(good[f] > 0, F.col(f)), 0.5, 50).alias(f"u_{f}") for f in good))
+    facets = [(f, ("mask", fraction_mask(good[f]))) for f in good] + [("date", ("mask", time_mask(F.col("date"))))]
+    counts = _explode_masks(rows, facets, "code").groupBy("code", "facet", "mask").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("code", "facet").agg(F.max_by("mask", F.struct("n", "mask")).alias("top"), F.max("n").alias("m"), F.sum("n").alias("t"))
+    stratum = F.pmod(F.hash("top"), F.lit(1000)) * 10 + F.floor(F.col("m") / F.col("t") * 5)
+    wide = top.groupBy("code").agg(*(F.max(F.when(F.col("facet") == f, stratum)).cast("smallint").alias(f"s_{f}") for f in ("open", "close", "date")))
+    return wide.join(usual, "code").select("code", F.col("u_open").cast("float").alias("u_open"), F.col("u_close").cast("float").alias("u_close"), "s_open", "s_close", "s_date")
+
 
+def mask_counts(bars: DataFrame, stand_ins: list[float]) -> DataFrame:
+    """field, facet, load_id, stratum, mask, n; aggregated map-side to a few thousand rows a task.
 
-def mask_divergence(counts: DataFrame) -> DataFrame:
-    """load_id, field, facet, rows, divergence: the share of a load's rows whose masks the other
-    loads do not lead one to expect (total variation distance)."""
+    The habits grow with the instruments: the planner broadcasts them only if their measured size
+    is below its limit."""
+    habits = instrument_habits(bars, stand_ins)
+    rows = bars.select("load_id", F.when(is_code(F.col("code")), F.col("code")).alias("code"), *(usable(F.col(f), stand_ins).alias(f) for f in ("open", "close")), "date").join(habits, "code", "left")
+    none = F.lit(-1).cast("smallint")
+    facets = []
+    for f in ("open", "close"):
+        unit = unit_class(F.col(f), F.col(f"u_{f}"))
+        facets.append((f"{f}|missing", ("stratum", none), ("mask", F.when(F.col(f).isNull(), MISSING).otherwise("given"))))
+        facets.append((f"{f}|unit", ("stratum", none), ("mask", unit.cast("string"))))
+        # prices off the instrument's unit say nothing about its precision
+        facets.append((f"{f}|precision", ("stratum", F.coalesce(f"s_{f}", none)), ("mask", F.when(unit == 0, fraction_mask(F.col(f))))))
+    facets.append(("date|missing", ("stratum", none), ("mask", F.when(F.col("date").isNull(), MISSING).otherwise("given"))))
+    facets.append(("date|hour", ("stratum", F.coalesce("s_date", none)), ("mask", time_mask(F.col("date")))))
+    counts = _explode_masks(rows, facets, "load_id").groupBy("load_id", "facet", "stratum", "mask").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("load_id", F.split("facet", "[|]")[0].alias("field"), F.split("facet", "[|]")[1].alias("facet"), "stratum", "mask", "n")
+
+
+def mask_divergence(cells: DataFrame) -> DataFrame:
+    """load_id, field, facet, rows, differing: the rows of a load whose masks the other loads do not
+    lead one to expect (total variation distance).  All steps are bounded by loads x strata x masks."""
     key = ["field", "facet"]
-    by_code = counts.groupBy(*key, "code", "mask").agg(F.sum("n").alias("n"))
-    top = by_code.groupBy(*key, "code").agg(F.max_by("mask", F.struct("n", "mask")).alias("top"), F.max("n").alias("m"), F.sum("n").alias("t"))
-    strata = top.select(*key, "code", F.concat_ws("|", "top", F.floor(F.col("m") / F.col("t") * 5).cast("string"), F.when(F.col("code") == "?", "?").otherwise("")).alias("stratum"))
-    cells = counts.join(strata, [*key, "code"]).groupBy(*key, "load_id", "stratum", "mask").agg(F.sum("n").alias("n"))
-    # all that follows is bounded by loads x strata x masks
     mixes = cells.groupBy(*key, "load_id", "stratum").agg(F.sum("n").alias("mix"))
     whole = cells.groupBy(*key, "stratum", "mask").agg(F.sum("n").alias("all_n"))
     strata_all = cells.groupBy(*key, "stratum").agg(F.sum("n").alias("all_mix"))
