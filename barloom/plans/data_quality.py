@@ -36,7 +36,9 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_rolling(spark: SparkSession, folder: str) -> DataFrame:
-    return rolling.rolling_totals(clean_readings(spark, folder, "close"))
+    totals = rolling.rolling_totals(clean_readings(spark, folder, "close"))
+    totals = totals.withColumns({f"total_{p}": F.round(f"total_{p}", 4) + F.lit(0.0) for p in (7, 30)})
+    return totals.withColumns({f"avg_{p}": F.when(F.col(f"n_{p}") > 0, F.col(f"total_{p}") / F.col(f"n_{p}")) for p in (7, 30)})
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
