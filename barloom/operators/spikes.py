@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FIELDS = ("open", "close")
-#: Excursions shorter than this many robust day moves are ordinary.
-EXCURSION = 14.0
+#: Excursions smaller than this many robust day moves are ordinary; those of more than LONG_DAYS days, which
+#: may be moves of the market, must be half as large again.
+EXCURSION, LONG_DAYS = 14.0, 2
 #: A stuck run has at least this many days of readings.
 STUCK_DAYS = 6
 #: Sources that repeat their price on more than this share of days are quiet, not stuck.
@@ -41,7 +42,9 @@ QUIET_SHARE = 0.25
 #: Score from which a reading stands out and is put to the rules.
 SCORE = 0.45
 TREES, SAMPLE, DEPTH = 16, 128, 7
-HALF, SIDE = 10, 5
+HALF, SIDE = 10, 2
+#: Logarithmic distance within which the prices of a day agree.
+ALIKE = 0.3
 FOUND_SCHEMA = "bar_id long, code string, day date, field string, value double, score double, rule string"
 
 
@@ -167,20 +170,22 @@ def source_model(h: pd.DataFrame) -> dict:
     days = len(h)
     with np.errstate(invalid="ignore"):
         stack = np.log(np.stack([h[f"{f}_{k}"].to_numpy(float) for f in FIELDS for k in ("least", "most")], axis=1))
-    level = _row_nanmedian(_windows(stack, HALF))
+    base = _base_level(stack)
     reps = []
     for k in range(len(FIELDS)):
         cand = stack[:, 2 * k : 2 * k + 2]
-        gap = np.abs(cand - level[:, None])
+        gap = np.abs(cand - base[:, None])
         gap[np.isnan(gap)] = np.inf
         reps.append(cand[np.arange(days), np.argmin(gap, axis=1)])
-    moves = np.concatenate([np.abs(np.diff(r[~np.isnan(r)])) for r in reps])
+    both = np.stack(reps, axis=1)
+    level = _level(both, base, ALIKE)
+    moves = np.abs(np.diff(both, axis=0)).ravel()
+    moves = moves[~np.isnan(moves)]
     tick = 0.0005 / np.exp(np.nanmedian(level)) if np.isfinite(level).any() else 1e-4
     scale = max(float(np.median(moves)) if len(moves) else 0.0, tick)
-    both = np.stack(reps, axis=1)
     with np.errstate(invalid="ignore"):
         clean = np.where(np.abs(both - level[:, None]) < max(12 * scale, 3e-3), both, np.nan)
-    level = np.where(np.isnan(x := _row_nanmedian(_windows(clean, HALF))), level, x)
+    level = _level(clean, level, np.inf)
     date = h["day"].to_numpy().astype("datetime64[D]").astype(np.int32)
     left, right, near_l, near_r = _sides(clean, SIDE)
     padded = np.r_[date, date[-1]]
@@ -208,6 +213,9 @@ def source_model(h: pd.DataFrame) -> dict:
         run[n], later[n] = np.bincount(rid)[rid] if len(v) else 0, same
         m[f + "_run"], m[f + "_later"], m[f + "_one"] = run, later, np.where(run > 1, one, np.nan)
         m[f + "_quiet"] = float(same.mean()) if len(v) > 1 else 0.0
+        away = np.where(np.isnan(clean[:, k]), np.nan_to_num(np.sign(both[:, k] - level)), 0.0)
+        stretch = np.cumsum(np.r_[True, away[1:] != away[:-1]])
+        m[f + "_need"] = np.where((away != 0) & (np.bincount(stretch)[stretch] > LONG_DAYS), 1.5 * EXCURSION, EXCURSION).astype(np.float32)
         at = np.flatnonzero(n)
         xs += [_features(stack[at, 2 * k + j], at, m, run[at].astype(float))[0] for j in range(2)]
     x = np.concatenate(xs)
@@ -215,6 +223,34 @@ def source_model(h: pd.DataFrame) -> dict:
     return m
 
 
+def _base_level(stack: np.ndarray) -> np.ndarray:
+    """The level of each day from the days around on which all prices agree.
+
+    A stretch on which one field is in another unit, however long, has no such day and takes the
+    level of the nearest one."""
+    days = len(stack)
+    with np.errstate(invalid="ignore"):
+        spread = np.fmax.reduce(stack, axis=1) - np.fmin.reduce(stack, axis=1)
+    agree = np.flatnonzero(spread < ALIKE)
+    if len(agree) < 5:
+        agree = np.flatnonzero(~np.isnan(spread))
+    if not len(agree):
+        return np.full(days, np.nan)
+    level = _row_nanmedian(_windows(stack[agree], HALF))
+    after = np.clip(np.searchsorted(agree, np.arange(days)), 0, len(agree) - 1)
+    before = np.maximum(after - 1, 0)
+    nearer = np.where(np.abs(agree[before] - np.arange(days)) <= np.abs(agree[after] - np.arange(days)), before, after)
+    return level[np.where(agree[after] == np.arange(days), after, nearer)]
+
+
+def _level(both: np.ndarray, base: np.ndarray, within: float) -> np.ndarray:
+    """Median of the values around that are not far from the base; where there is none, the base."""
+    with np.errstate(invalid="ignore"):
+        near = np.where(np.abs(both - base[:, None]) < within, both, np.nan)
+    level = _row_nanmedian(_windows(near, HALF))
+    return np.where(np.isnan(level), base, level)
+
+
 def _run_values(least: np.ndarray, most: np.ndarray) -> np.ndarray:
     """The one value of each day that a run may hold: the only one, or, of a day with several
     (a bar delivered again with a correction), the one shared with the day before or after."""
@@ -253,7 +289,7 @@ def judge(rows: pd.DataFrame, m: dict) -> pd.DataFrame:
         stands_out = score >= SCORE
         rule = np.full(len(v), None, object)
         rule[stands_out & in_run & m[f + "_later"][at] & (run >= STUCK_DAYS) & (m[f + "_quiet"] <= QUIET_SHARE)] = "stuck"
-        rule[stands_out & (exc > EXCURSION)] = "excursion"
+        rule[stands_out & (exc > m[f + "_need"][at])] = "excursion"
         rule[stands_out & unit] = "unit"
         rule[~positive] = "limit"
         out.append(rows.loc[have, ["bar_id", "code", "day"]].assign(field=f, value=v, score=score, rule=rule))
