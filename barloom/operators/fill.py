@@ -92,7 +92,7 @@ def propagate_codes(rows: DataFrame, states: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("k", F.exp(-F.abs(F.log(F.col("p") / F.col("v"))) / SIMILAR) * F.when(F.col("at") == F.col("day"), 0.1).otherwise(1.0))
     mine = pairs.groupBy("bar_id", "code").agg(F.sum("k").alias("k")).groupBy("bar_id").agg(F.max_by("code", F.struct("k", "code")).alias("s_code"), (F.max("k") / F.sum("k")).alias("s_weight")).where(F.col("s_weight") >= MAJORITY)
     out = named.join(mine, "bar_id", "left")
-    return out.select("bar_id", F.coalesce("filled_code", "s_code").alias("filled_code"), F.coalesce("weight", "s_weight").alias("weight"))
+    return out.select("bar_id", F.coalesce("filled_code", "s_code").alias("filled_code"), F.coalesce("weight", "s_weight").alias("weight")).dropDuplicates(["bar_id"])
 
 
 def fill_missing(bars: DataFrame, stand_ins: list[float], rounds: int = ROUNDS) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.readings import is_code, usable
+from barloom.session import cut_lineage
 
 MISSING = "missing"
 #: A load is reported from this estimated share of its rows.
@@ -98,30 +99,50 @@ def mask_counts(bars: DataFrame, stand_ins: list[float]) -> DataFrame:
     return counts.select("load_id", F.split("facet", "[|]")[0].alias("field"), F.split("facet", "[|]")[1].alias("facet"), "stratum", "mask", "n")
 
 
-def mask_divergence(cells: DataFrame) -> DataFrame:
-    """load_id, field, facet, rows, differing: the rows of a load whose masks the other loads do not
-    lead one to expect (total variation distance).  All steps are bounded by loads x strata x masks."""
+def mask_divergence(cells: DataFrame, pool: DataFrame | None = None) -> DataFrame:
+    """load_id, field, facet, rows, differing: the rows of a load whose masks the other loads of the
+    pool do not lead one to expect (total variation distance).
+
+    cells: mask_counts; pool: those of its rows that say what to expect (all, if not given).
+    All steps are bounded by loads x strata x masks."""
     key = ["field", "facet"]
-    mixes = cells.groupBy(*key, "load_id", "stratum").agg(F.sum("n").alias("mix"))
-    whole = cells.groupBy(*key, "stratum", "mask").agg(F.sum("n").alias("all_n"))
-    strata_all = cells.groupBy(*key, "stratum").agg(F.sum("n").alias("all_mix"))
+    own = ["load_id", *key, "stratum"]
+    pool = cells if pool is None else pool
+    mixes = cells.groupBy(*own).agg(F.sum("n").alias("mix"))
+    in_pool = pool.groupBy(*own).agg(F.sum("n").alias("own_mix"))
+    whole = pool.groupBy(*key, "stratum", "mask").agg(F.sum("n").alias("all_n"))
+    strata = pool.groupBy(*key, "stratum").agg(F.sum("n").alias("all_mix"))
+    masks = cells.select(*key, "stratum", "mask").distinct()
     # every mask of the stratum for every load that has the stratum
-    full = mixes.join(whole, [*key, "stratum"]).join(strata_all, [*key, "stratum"]).join(cells, [*key, "load_id", "stratum", "mask"], "left")
-    own = F.coalesce("n", F.lit(0))
-    rest_n, rest_mix = F.col("all_n") - own, F.col("all_mix") - F.col("mix")
-    expected = F.when(rest_mix > 0, F.col("mix") * rest_n / rest_mix).otherwise(own)
-    sums = full.groupBy(*key, "load_id", "mask").agg(F.sum(own).alias("seen"), F.sum(expected).alias("expected"))
+    full = mixes.join(masks, [*key, "stratum"]).join(strata, [*key, "stratum"], "left").join(whole, [*key, "stratum", "mask"], "left").join(in_pool, own, "left").join(cells, [*own, "mask"], "left")
+    seen, zero = F.coalesce("n", F.lit(0)), F.lit(0)
+    counts = F.col("own_mix").isNotNull()
+    rest_n = F.coalesce("all_n", zero) - F.when(counts, seen).otherwise(zero)
+    rest_mix = F.coalesce("all_mix", zero) - F.coalesce("own_mix", zero)
+    expected = F.when(rest_mix > 0, F.col("mix") * rest_n / rest_mix).otherwise(seen)
+    sums = full.groupBy(*key, "load_id", "mask").agg(F.sum(seen).alias("seen"), F.sum(expected).alias("expected"))
     return sums.groupBy("load_id", *key).agg(F.sum("seen").alias("rows"), (F.sum(F.abs(F.col("seen") - F.col("expected"))) / 2).alias("differing"))
 
 
 def divergent_loads(bars: DataFrame, stand_ins: list[float], least_share: float = LEAST_SHARE) -> DataFrame:
-    """load_id, field, facet, share: the loads that delivered a column differently."""
-    found = mask_divergence(mask_counts(bars, stand_ins))
-    sizes = bars.groupBy("load_id").agg(F.count(F.lit(1)).alias("size"))
-    share = F.col("differing") / F.col("size")
-    # small loads differ by chance: three standard errors of a share on top
-    noise = 3 * F.sqrt(F.lit(0.1 * 0.9) / F.col("size"))
-    return found.join(sizes, "load_id").where(share >= F.greatest(F.lit(least_share), noise)).select("load_id", "field", "facet", share.alias("share"))
+    """load_id, field, facet, share: the loads that delivered a column differently.
+
+    Twice: the loads that stand out most at first say nothing of what to expect the second time, so
+    that several changed loads do not hide, or smear, each other."""
+    cells = cut_lineage(mask_counts(bars, stand_ins))
+    sizes = cells.where("field = 'date' and facet = 'missing'").groupBy("load_id").agg(F.sum("n").alias("size"))
+
+    def shares(pool: DataFrame | None) -> DataFrame:
+        share = F.col("differing") / F.col("size")
+        # small loads differ by chance: three standard errors of a share on top
+        noise = 3 * F.sqrt(F.lit(0.1 * 0.9) / F.col("size"))
+        return mask_divergence(cells, pool).join(sizes, "load_id").withColumns({"share": share, "limit": F.greatest(F.lit(least_share), noise)})
+
+    first = shares(None)
+    top = first.groupBy("field", "facet").agg(F.max("share").alias("top"))
+    out = first.join(top, ["field", "facet"]).where(F.col("share") >= F.greatest("limit", F.col("top") / 2)).select("load_id", "field", "facet")
+    second = shares(cells.join(out, ["load_id", "field", "facet"], "left_anti"))
+    return second.where(F.col("share") >= F.col("limit")).select("load_id", "field", "facet", "share")
 
 
 def changed_columns(divergent: DataFrame) -> DataFrame:

@@ -13,7 +13,10 @@ from barloom.operators.ledger import Settings, with_ledger
 from barloom.sources.bars import benchmark, daily_bars
 
 SMALL_FAST, SMALL_SLOW = (5, 10), (20, 30)
-DAY = F.date_format("day", "yyyy-MM-dd").alias("day")
+
+
+def _day():
+    return F.date_format("day", "yyyy-MM-dd").alias("day")
 
 
 def _w():
@@ -30,16 +33,16 @@ def _priced(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bars_daily(spark, folder):
-    return _priced(spark, folder).select("code", DAY, "open", "high", "low", "close")
+    return _priced(spark, folder).select("code", _day(), "open", "high", "low", "close")
 
 
 def pct_change_open(spark, folder):
-    return daily_bars(spark, folder).select("code", DAY, _r(I.pct_change(F.col("o").cast("double"), _w())).alias("open_pct_change"))
+    return daily_bars(spark, folder).select("code", _day(), _r(I.pct_change(F.col("o").cast("double"), _w())).alias("open_pct_change"))
 
 
 def sma(spark, folder):
     b, w = daily_bars(spark, folder), _w()
-    return b.select("code", DAY, *(_r(I.sma("c", n, w) / 1000.0).alias(f"sma_{n}") for n in (5, 20)))
+    return b.select("code", _day(), *(_r(I.sma("c", n, w) / 1000.0).alias(f"sma_{n}") for n in (5, 20)))
 
 
 def sma_warmup_drop(spark, folder):
@@ -47,49 +50,49 @@ def sma_warmup_drop(spark, folder):
 
 
 def llv(spark, folder):
-    return _priced(spark, folder).select("code", DAY, I.lowest("low", 9, _w()).alias("llv_9"))
+    return _priced(spark, folder).select("code", _day(), I.lowest("low", 9, _w()).alias("llv_9"))
 
 
 def hhv(spark, folder):
-    return _priced(spark, folder).select("code", DAY, I.highest("high", 9, _w()).alias("hhv_9"))
+    return _priced(spark, folder).select("code", _day(), I.highest("high", 9, _w()).alias("hhv_9"))
 
 
 def rsv(spark, folder):
-    return daily_bars(spark, folder).select("code", DAY, _r(I.rsv("c", "h", "l", 9, _w())).alias("rsv_9"))
+    return daily_bars(spark, folder).select("code", _day(), _r(I.rsv("c", "h", "l", 9, _w())).alias("rsv_9"))
 
 
 def kdj(spark, folder):
     k = I.with_kdj(daily_bars(spark, folder), _w(), 9, 3, 3, "c", "h", "l")
-    return k.select("code", DAY, *(_r(F.col(c)).alias(c) for c in ("k", "d", "j")))
+    return k.select("code", _day(), *(_r(F.col(c)).alias(c) for c in ("k", "d", "j")))
 
 
 def crossup_sma(spark, folder):
     b, w = daily_bars(spark, folder), _w()
     ma = b.withColumns({"f": I.sma("c", 5, w), "s": I.sma("c", 20, w)})
-    return ma.select("code", DAY, I.crossed("f", "s", w).alias("signal"))
+    return ma.select("code", _day(), I.crossed("f", "s", w).alias("signal"))
 
 
 def trade_delay(spark, folder):
-    return signals.average_cross(daily_bars(spark, folder), 5, 20).select("code", DAY, "signal", "trade")
+    return signals.average_cross(daily_bars(spark, folder), 5, 20).select("code", _day(), "signal", "trade")
 
 
 def ema(spark, folder):
     e = recursive.with_ema(_priced(spark, folder), (12, 26))
-    return e.select("code", DAY, *(_r(F.col(f"ema_{n}")).alias(f"ema_{n}") for n in (12, 26)))
+    return e.select("code", _day(), *(_r(F.col(f"ema_{n}")).alias(f"ema_{n}") for n in (12, 26)))
 
 
 def macd(spark, folder):
     m = recursive.with_macd(_priced(spark, folder).select("code", "day", "close"))
-    return m.select("code", DAY, *(_r(F.col(c)).alias(c) for c in ("dif", "dea", "macd")))
+    return m.select("code", _day(), *(_r(F.col(c)).alias(c) for c in ("dif", "dea", "macd")))
 
 
 def macd_signal(spark, folder):
-    return signals.macd_cross(daily_bars(spark, folder)).select("code", DAY, "signal", "trade")
+    return signals.macd_cross(daily_bars(spark, folder)).select("code", _day(), "signal", "trade")
 
 
 def max_pos(spark, folder):
     units = I.most_affordable(F.col("close"), F.lit(100000.0), 0.002, 100)
-    return _priced(spark, folder).select("code", DAY, units.alias("position"))
+    return _priced(spark, folder).select("code", _day(), units.alias("position"))
 
 
 def _ledger(spark, folder, rules="d", settings=None) -> DataFrame:
@@ -98,7 +101,7 @@ def _ledger(spark, folder, rules="d", settings=None) -> DataFrame:
 
 
 def _shown(ledger: DataFrame, places: int = 4) -> DataFrame:
-    return ledger.select("code", DAY, "trade", *(_r(F.col(c), places).alias(c) for c in ("position", "market_value", "cash", "total_asset")))
+    return ledger.select("code", _day(), "trade", *(_r(F.col(c), places).alias(c) for c in ("position", "market_value", "cash", "total_asset")))
 
 
 def ledger_a(spark, folder):
@@ -122,20 +125,20 @@ def ledger_c_fixed_volume(spark, folder):
 
 
 def final_asset(spark, folder):
-    return evaluation.final_assets(_ledger(spark, folder)).select("code", DAY, _r(F.col("total_asset"), 4).alias("total_asset"))
+    return evaluation.final_assets(_ledger(spark, folder)).select("code", _day(), _r(F.col("total_asset"), 4).alias("total_asset"))
 
 
 def backtest_sma(spark, folder):
     """Average cross of 30 and 100 days under rules d, all rows, up to the final asset."""
     t = signals.average_cross(daily_bars(spark, folder), 30, 100)
     x = evaluation.final_assets(with_ledger(t.select("code", "day", "open", "open_pct_change", "trade"), "d"))
-    return x.select("code", DAY, _r(F.col("total_asset"), 4).alias("total_asset"))
+    return x.select("code", _day(), _r(F.col("total_asset"), 4).alias("total_asset"))
 
 
 def backtest_macd(spark, folder):
     t = signals.macd_cross(daily_bars(spark, folder))
     x = evaluation.final_assets(with_ledger(t.select("code", "day", "open", "open_pct_change", "trade"), "c"))
-    return x.select("code", DAY, _r(F.col("total_asset"), 3).alias("total_asset"))
+    return x.select("code", _day(), _r(F.col("total_asset"), 3).alias("total_asset"))
 
 
 def param_grid(spark, folder):
@@ -161,11 +164,11 @@ def param_best_full(spark, folder):
 
 
 def strategy_returns(spark, folder):
-    return evaluation.strategy_returns(_ledger(spark, folder)).select("code", DAY, _r(F.col("stra_pct_returns"), 8).alias("stra_pct_returns"))
+    return evaluation.strategy_returns(_ledger(spark, folder)).select("code", _day(), _r(F.col("stra_pct_returns"), 8).alias("stra_pct_returns"))
 
 
 def benchmark_returns(spark, folder):
-    return evaluation.benchmark_returns(benchmark(spark, folder)).select(DAY, _r(F.col("bench_pct_returns"), 8).alias("bench_pct_returns"))
+    return evaluation.benchmark_returns(benchmark(spark, folder)).select(_day(), _r(F.col("bench_pct_returns"), 8).alias("bench_pct_returns"))
 
 
 def report_metrics(spark, folder):
@@ -175,7 +178,7 @@ def report_metrics(spark, folder):
 
 def account_view(spark, folder):
     a = evaluation.account_view(_ledger(spark, folder))
-    return a.select("code", DAY, *(_r(F.col(c), 4).alias(c) for c in a.columns[2:]))
+    return a.select("code", _day(), *(_r(F.col(c), 4).alias(c) for c in a.columns[2:]))
 
 
 def position_view(spark, folder):
