@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from barloom.operators.readings import is_code, usable
 
 ROUNDS = 8
-#: Share of the weight that a code must have among the candidates of a bar.
-MAJORITY = 0.5
+#: Share of the weight that a code must have among the candidates of a bar: of those of its name, and of the nearest in price.
+MAJORITY, NEAREST = 0.5, 0.7
 #: Width of a price bucket for similarity edges, as a relative difference.
 SIMILAR = 0.004
 
@@ -81,16 +81,18 @@ def propagate_codes(rows: DataFrame, states: DataFrame) -> DataFrame:
     named = lost.join(by_name, "name", "left").select("bar_id", "day", "o", "c", "filled_code", "weight")
     # similarity edges: the same day, price buckets that touch
     bucket = lambda x: F.floor(F.log(x) / SIMILAR)
-    open_ = named.where("filled_code is null and day is not null and coalesce(c, o) > 0").select("bar_id", "day", F.coalesce("c", "o").alias("p"))
+    open_ = named.where("filled_code is null and day is not null and coalesce(o, c) > 0").select("bar_id", "day", F.coalesce("o", "c").alias("p"))
     asked = open_.select("bar_id", "day", "p", F.explode(F.array(*(bucket(F.col("p")) + k for k in (-1, 0, 1)))).alias("bucket"))
     w = Window.partitionBy("code").orderBy("day")
-    around = states.select("code", "day", F.coalesce("c", "o").alias("v")).where("v > 0").withColumns({"next_day": F.lead("day").over(w)})
+    # its close is what the next open lies near
+    around = states.select("code", "day", "n", F.coalesce("c", "o").alias("v")).where("v > 0").withColumns({"next_day": F.lead("day").over(w)})
     # a state stands for the open days up to the next one, where a bar of its instrument may be the lost one
-    around = around.select("code", "v", F.explode(F.sequence("day", F.least(F.coalesce(F.date_sub("next_day", 1), F.date_add("day", 7)), F.date_add("day", 7)))).alias("day"), F.col("day").alias("at"))
+    around = around.select("code", "v", "n", F.explode(F.sequence("day", F.least(F.coalesce(F.date_sub("next_day", 1), F.date_add("day", 7)), F.date_add("day", 7)))).alias("day"), F.col("day").alias("at"))
     pairs = asked.join(around.withColumn("bucket", bucket(F.col("v"))), ["day", "bucket"])
-    # an instrument that has its own bar on that day is not the one that lacks its code
-    pairs = pairs.withColumn("k", F.exp(-F.abs(F.log(F.col("p") / F.col("v"))) / SIMILAR) * F.when(F.col("at") == F.col("day"), 0.1).otherwise(1.0))
-    mine = pairs.groupBy("bar_id", "code").agg(F.sum("k").alias("k")).groupBy("bar_id").agg(F.max_by("code", F.struct("k", "code")).alias("s_code"), (F.max("k") / F.sum("k")).alias("s_weight")).where(F.col("s_weight") >= MAJORITY)
+    # an instrument that has its own bar on that day is hardly the one that lacks its code, unless it is read many times a day
+    taken = (F.col("at") == F.col("day")) & (F.col("n") < 3)
+    pairs = pairs.withColumn("k", F.exp(-F.abs(F.log(F.col("p") / F.col("v"))) / SIMILAR) * F.when(taken, 0.1).otherwise(F.greatest(F.lit(1.0), F.col("n") / 2.0)))
+    mine = pairs.groupBy("bar_id", "code").agg(F.sum("k").alias("k")).groupBy("bar_id").agg(F.max_by("code", F.struct("k", "code")).alias("s_code"), (F.max("k") / F.sum("k")).alias("s_weight")).where(F.col("s_weight") >= NEAREST)
     out = named.join(mine, "bar_id", "left")
     return out.select("bar_id", F.coalesce("filled_code", "s_code").alias("filled_code"), F.coalesce("weight", "s_weight").alias("weight")).dropDuplicates(["bar_id"])
 
@@ -99,12 +101,12 @@ def fill_missing(bars: DataFrame, stand_ins: list[float], rounds: int = ROUNDS)
     """bar_id, field, value (string), status (filled, unfilled), source (bar, state, code): a row for
     every cell of open, close and code that has no usable value."""
     rows = prepare(bars, stand_ins)
-    states = rows.where("code is not null and day is not null").groupBy("code", "day").agg(F.avg("o").alias("o"), F.avg("c").alias("c"))
+    states = rows.where("code is not null and day is not null").groupBy("code", "day").agg(F.avg("o").alias("o"), F.avg("c").alias("c"), F.count(F.lit(1)).alias("n"))
     codes = propagate_codes(rows, states)
     holes = rows.where("open is null or close is null or code is null").join(codes, "bar_id", "left").withColumn("at_code", F.coalesce("code", "filled_code"))
     # filled codes may name a state that has no other bar: it is a missing state of its own
     extra = holes.where("code is null and filled_code is not null and day is not null").select(F.col("filled_code").alias("code"), "day", F.lit(None).cast("double").alias("o"), F.lit(None).cast("double").alias("c"))
-    whole = states.unionByName(extra).groupBy("code", "day").agg(F.avg("o").alias("o"), F.avg("c").alias("c"))
+    whole = states.drop("n").unionByName(extra).groupBy("code", "day").agg(F.avg("o").alias("o"), F.avg("c").alias("c"))
     smooth = propagate_states(whole, rounds).select(F.col("code").alias("at_code"), "day", F.col("o").alias("po"), F.col("c").alias("pc"))
     seen = states.select(F.col("code").alias("at_code"), "day", F.col("o").alias("so"), F.col("c").alias("sc"))
     joined = holes.join(seen, ["at_code", "day"], "left").join(smooth, ["at_code", "day"], "left")
