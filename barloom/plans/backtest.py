@@ -11,6 +11,7 @@ from barloom.functions import indicators as I
 from barloom.operators import evaluation, grid_search, recursive, signals
 from barloom.operators.ledger import Settings, with_ledger
 from barloom.sources.bars import benchmark, daily_bars
+from barloom.streaming.online import replay_online
 
 SMALL_FAST, SMALL_SLOW = (5, 10), (20, 30)
 
@@ -124,6 +125,12 @@ def ledger_c_fixed_volume(spark, folder):
     return _shown(_ledger(spark, folder, "c", Settings(units=1.0)), 6)
 
 
+def online_sma(spark, folder):
+    """ledger_d, bar by bar on a stream."""
+    rows = replay_online(daily_bars(spark, folder)).where(F.col("status").isin("held", "traded"))
+    return _shown(rows)
+
+
 def final_asset(spark, folder):
     return evaluation.final_assets(_ledger(spark, folder)).select("code", _day(), _r(F.col("total_asset"), 4).alias("total_asset"))
 
@@ -189,7 +196,7 @@ def position_view(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        bars_daily, pct_change_open, sma, sma_warmup_drop, llv, hhv, rsv, kdj, crossup_sma, trade_delay, ema, macd, macd_signal, max_pos, ledger_a, ledger_b, ledger_c, ledger_d, ledger_c_fixed_volume,
+        bars_daily, pct_change_open, sma, sma_warmup_drop, llv, hhv, rsv, kdj, crossup_sma, trade_delay, ema, macd, macd_signal, max_pos, ledger_a, ledger_b, ledger_c, ledger_d, ledger_c_fixed_volume, online_sma,
         final_asset, backtest_sma, backtest_macd, param_grid, param_returns, param_best, param_returns_full, param_best_full, strategy_returns, benchmark_returns, report_metrics, account_view, position_view,
     )
 }

@@ -145,6 +145,7 @@ ORACLES = {
     "ledger_c": _with(BARS, _T, _ledger("c")) + _show(3),
     "ledger_d": _L + _show(),
     "ledger_c_fixed_volume": _with(BARS, _T, _ledger("c", 1.0)) + _show(6),
+    "online_sma": _L + _show(),
     "final_asset": _L + _FINAL,
     "backtest_sma": _with(BARS, _average_trades(30, 100), _ledger("d")) + _FINAL,
     "backtest_macd": _with(BARS, SEEDS, MACD, MACD_TRADES, _ledger("c")) + _FINAL.replace("day), 4)", "day), 3)"),

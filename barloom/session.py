@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the cluster names it in spark.checkpoint.dir.
+
+    Only a session in one process, as in tests, that names none gets a temporary one."""
+    sc = spark.sparkContext
+    given = sc._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="barloom-")
+    sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows of df, computed now and once, read from reliable storage afterwards.
-
-    The folder is the one the cluster names in spark.checkpoint.dir.  Only a session in one process,
-    as in tests, that names none gets a temporary one."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="barloom-")
-        sc.setCheckpointDir(folder)
+    """The rows of df, computed now and once, read from reliable storage afterwards."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
