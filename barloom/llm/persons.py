@@ -41,7 +41,8 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ž"
 # ---- anchors, fixed values -------------------------------------------------
 AT = ("@", "＠", "(at)", "[at]", "{at}", "<at>", " at ", "[ at ]", "( at )")
 PHONE_CUES = ("phone", "tel", "call", "mobile", "cell", "text me on", "ring", "rang twice", "desk line is", "whatsapp", "fax", "电话", "手机", "拨打", "就打", "致电", "热线")
-PHONE_PREFIXES = ("+", "(0", "（0", "0086", "010-", "07", "02", "04", "555")
+PHONE_PREFIXES = ("+", "(", "（", "00", "01", "02", "03", "04", "05", "06", "07", "08", "09", "12", "13", "14", "15", "16", "17", "18", "19", "555")
+CENTURIES = ("19", "20")
 ID_CUES = ("id:", "id no", "identity", "kyc", "tax payer", "taxpayer", "passport", "social security", "national insurance", "ssn", "holder gave", "身份证", "证件", "护照", "实名")
 NO_PERSON_CUES = ("order", "ref", "ticket", "contract", "batch", "version", "build", "委托", "合同", "工单", "版本", "编号")
 STREETS = ("road", "street", "lane", "avenue", "close", "terrace", "drive", "court", "square", "crescent", "rd", "st", "ave", "ln", "dr", "blvd", "路", "街", "巷", "大道", "胡同", "弄")
@@ -136,6 +137,7 @@ class Finder:
         add(AT, "email")
         add(PHONE_CUES, "phone_cue")
         add(PHONE_PREFIXES, "phone")
+        add(CENTURIES, "century")
         add(ID_CUES, "id_cue")
         add(STREETS, "street")
         add(NAME_BEFORE, "name_before")
@@ -159,7 +161,6 @@ class Finder:
         for end, tags in self.auto.iter(low):
             for tag, n in tags:
                 getattr(self, "_" + tag)(text, low, end + 1 - n, end + 1, found)
-        self._numbers(text, low, found)
         # stricter kinds first, longer first
         kept: list[tuple[str, int, int]] = []
         taken: list[tuple[int, int]] = []
@@ -183,31 +184,39 @@ class Finder:
                     continue
                 found.add((0, m.start(), m.end(), "email"))
 
-    def _numbers(self, text, low, found):
-        """Numbers whose own shape is an anchor: checked identity numbers and formatted phone numbers."""
-        for m in _CN_ID.finditer(text):
-            if _valid_cn(m[0]) and not self._business(low, m.start()):
-                found.add((1, m.start(), m.end(), "id_number"))
-        for p in (_SSN, _NINO):
-            for m in p.finditer(text):
-                if not self._business(low, m.start()):
-                    found.add((1, m.start(), m.end(), "id_number"))
-        for m in _PHONE.finditer(text):
-            if not self._business(low, m.start()):
-                found.add((2, m.start(), m.end(), "phone"))
-
     def _business(self, low, a):
         before = low[max(0, a - 14) : a]
         return any(c in before for c in NO_PERSON_CUES)
 
     def _id_cue(self, text, low, a, b, found):
-        hi = min(len(text), b + 40)
-        for m in _PASSPORT.finditer(text, b, hi):
-            found.add((1, m.start(), m.end(), "id_number"))
-            break
+        """The first identity number within a few words behind the cue."""
+        hi = min(len(text), b + 48)
+        best = None
+        for p in (_CN_ID, _SSN, _NINO, _PASSPORT):
+            m = p.search(text, b, hi)
+            if m and (p is not _CN_ID or _valid_cn(m[0])) and (best is None or m.start() < best.start()):
+                best = m
+        if best and not self._business(low, best.start()):
+            found.add((1, best.start(), best.end(), "id_number"))
+
+    def _century(self, text, low, a, b, found):
+        """The year of birth within a national identity number, which its own check digit confirms."""
+        for lead in (6, 7):
+            if a >= lead and text[a - 1] in "0123456789 -" and text[a - lead] in "0123456789":
+                m = _CN_ID.match(text, a - lead)
+                if m and _valid_cn(m[0]) and not self._business(low, m.start()):
+                    found.add((1, m.start(), m.end(), "id_number"))
 
     def _phone(self, text, low, a, b, found):
-        """Prefixes are covered by the shapes that begin with them."""
+        """A prefix that begins a number, or the exchange within one."""
+        if low[a] == "5":
+            m = next((m for m in _PHONE.finditer(text, max(0, a - 8), min(len(text), b + 8)) if m.start() < a < m.end()), None)
+        elif a and (low[a - 1].isdigit() or low[a - 1] in ".,-/"):
+            return
+        else:
+            m = _PHONE.match(text, a)
+        if m and not self._business(low, m.start()):
+            found.add((2, m.start(), m.end(), "phone"))
 
     def _phone_cue(self, text, low, a, b, found):
         m = _PHONE_LOOSE.match(text, next((k for k in range(b, min(b + 6, len(text))) if text[k] in "+(（0123456789"), b))
