@@ -46,24 +46,24 @@ def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open"
     span = daily.groupBy("code").agg(F.min("day_no").alias("lo"), F.max("day_no").alias("hi"))
     grid = span.select("code", F.explode(F.sequence("lo", "hi")).alias("day_no"))
     merged = grid.join(daily.drop("day").withColumn("has", F.lit(True)), ["code", "day_no"], "left")
-    w = Window.partitionBy("code").orderBy("day_no")
-    past, next_ = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    # the two sides, as of the grid time; the forward fill of the later side runs over the reversed order, so both are running aggregates
-    back = Window.partitionBy("code").orderBy(F.desc("day_no")).rowsBetween(Window.unboundedPreceding, -1)
-    del next_
-    sided = merged.withColumns({"pt": F.last("lt", True).over(past), "pv": F.last("lv", True).over(past)})
-    sided = sided.withColumns({"nt": F.last("ft", True).over(back), "nv": F.last("fv", True).over(back)})
+    forward = Window.partitionBy("code").orderBy("day_no").rowsBetween(Window.unboundedPreceding, -1)
+    backward = Window.partitionBy("code").orderBy(F.desc("day_no")).rowsBetween(Window.unboundedPreceding, -1)
+    # the two sides, as of the grid time: from other days, both as running aggregates, then from the day itself
+    merged = merged.withColumn("valued", F.when(F.col("ft").isNotNull(), F.col("day_no")))
+    sided = merged.withColumns({"pt": F.last("lt", True).over(forward), "pv": F.last("lv", True).over(forward), "pn": F.last("valued", True).over(forward)})
+    sided = sided.withColumns({"nt": F.last("ft", True).over(backward), "nv": F.last("fv", True).over(backward), "nn": F.last("valued", True).over(backward)})
     sided = sided.join(F.broadcast(days), "day_no")
-    sided = sided.withColumns({"pt": F.coalesce("bt", "pt"), "pv": F.when(F.col("bt").isNotNull(), F.col("bv")).otherwise(F.col("pv")), "nt": F.coalesce("at", "nt"), "nv": F.when(F.col("at").isNotNull(), F.col("av")).otherwise(F.col("nv"))})
-    seconds = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1e6)
-    here = F.unix_micros(grid_time.cast("timestamp")) / F.lit(1e6)
-    width = seconds("nt") - seconds("pt")
-    line = F.when(F.col("pt") == F.col("nt"), F.col("pv")).when(width > 0, F.col("pv") + (F.col("nv") - F.col("pv")) * (here - seconds("pt")) / width)
-    gap = F.datediff("nt", "pt")
+    own = lambda t, mine, other: F.when(F.col(t).isNotNull(), F.col(mine)).otherwise(F.col(other))
+    sided = sided.select("code", "day", "has", "ft", "bv", "av", own("bt", "bt", "pt").alias("pt"), own("bt", "bv", "pv").alias("pv"), own("bt", "day_no", "pn").alias("pn"), own("at", "at", "nt").alias("nt"), own("at", "av", "nv").alias("nv"), own("at", "day_no", "nn").alias("nn"))
+    seconds = lambda c: F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
+    here, left, right = seconds(grid_time), seconds(F.col("pt")), seconds(F.col("nt"))
+    line = F.when(F.col("pt") == F.col("nt"), F.col("pv")).when(right > left, F.col("pv") + (F.col("nv") - F.col("pv")) * (here - left) / (right - left))
+    gap = F.greatest(F.col("nn") - F.col("pn") - 1, F.lit(0))  # days without a value between the two neighbours
+    near = gap <= gap_limit_days
     seen = F.coalesce(F.col("has"), F.lit(False))
-    near = gap <= F.lit(gap_limit_days) * F.lit(7) / F.lit(5) + F.lit(2)
     status = F.when(seen & F.col("ft").isNotNull(), "observed").when(seen, "observed_without_value").when(near, "filled").otherwise("gap")
-    return sided.select("code", F.date_format("day", "yyyy-MM-dd").alias("day"), F.when(near, line).when(F.col("ft").isNotNull(), F.coalesce("bv", "av")).alias("value"), status.alias("status"), gap.alias("gap_days"))
+    value_at = F.when(near, line)
+    return sided.select("code", F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce(value_at, F.when(F.col("ft").isNotNull(), F.coalesce("bv", "av"))).alias("value"), status.alias("status"), gap.alias("gap_days"))
 
 
 def missing_days(series: DataFrame) -> DataFrame:
