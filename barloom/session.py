@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +30,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of df, computed now and once, read from reliable storage afterwards."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of all executors, once per context, so that they need
+    neither its folder nor a path to it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_barloom_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="barloom-"), "barloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(home):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("barloom", os.path.relpath(full, home)))
+    sc.addPyFile(path)
+    sc._barloom_shipped = True
