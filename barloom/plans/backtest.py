@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import indicators as I
-from barloom.operators import evaluation, grid_search, recursive, signals
+from barloom.operators import books, evaluation, grid_search, recursive, signals
 from barloom.operators.ledger import Settings, with_ledger
 from barloom.sources.bars import benchmark, daily_bars
+from barloom.sources.tables import table
 from barloom.streaming.online import replay_online
 
 SMALL_FAST, SMALL_SLOW = (5, 10), (20, 30)
@@ -193,10 +194,26 @@ def position_view(spark, folder):
     return p.select("code", *(_r(F.col(c), 5).alias(c) for c in ("market_value", "hold_vol", "cost", "price", "daily_profit_loss", "position_ratio")), F.col("hold_days").cast("long").alias("hold_days"))
 
 
+def account_history(spark, folder):
+    h = books.account_history(table(spark, folder, "qt_account"))
+    return h.select("account_id", "broker_id", F.date_format("date", "yyyy-MM-dd").alias("day"), *(_r(F.col(c), 4).alias(c) for c in books.MONEY))
+
+
+def account_latest(spark, folder):
+    x = books.latest_accounts(books.account_history(table(spark, folder, "qt_account")), table(spark, folder, "qt_broker"))
+    return x.select("account_id", "broker_id", F.date_format("date", "yyyy-MM-dd").alias("day"), "total_asset", "cash", "commission", F.col("min_size").cast("long").alias("min_size"), "pct_limit")
+
+
+def position_book(spark, folder):
+    p = books.position_book(table(spark, folder, "qt_position"))
+    return p.select("account_id", "code", F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), "name", "market_value", "hold_vol", "cost", _r(F.col("price")).alias("price"), _r(F.col("share")).alias("share"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         bars_daily, pct_change_open, sma, sma_warmup_drop, llv, hhv, rsv, kdj, crossup_sma, trade_delay, ema, macd, macd_signal, max_pos, ledger_a, ledger_b, ledger_c, ledger_d, ledger_c_fixed_volume, online_sma,
         final_asset, backtest_sma, backtest_macd, param_grid, param_returns, param_best, param_returns_full, param_best_full, strategy_returns, benchmark_returns, report_metrics, account_view, position_view,
+        account_history, account_latest, position_book,
     )
 }

@@ -174,4 +174,17 @@ ORACLES = {
     )
     + "SELECT a.code, round(a.market_value, 5) + 0.0 AS market_value, round(a.position, 5) + 0.0 AS hold_vol, round(CASE WHEN a.position <> 0 THEN s.open END, 5) + 0.0 AS cost, round(a.open, 5) + 0.0 AS price, round(coalesce(a.daily, 0), 5) + 0.0 AS daily_profit_loss, "
     "round(a.market_value / nullif(a.total_asset, 0), 5) + 0.0 AS position_ratio, CASE WHEN a.position <> 0 THEN a.i - a.since + 1 ELSE 0 END AS hold_days FROM og a LEFT JOIN led s ON s.code = a.code AND s.i = a.since WHERE a.back = 1",
+    "account_history": """
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY account_id, date ORDER BY posted_at DESC NULLS LAST, total_asset DESC) AS k FROM qt_account), h AS (SELECT * FROM d WHERE k = 1)
+SELECT account_id, broker_id, CAST(CAST(date AS DATE) AS VARCHAR) AS day, round(total_asset, 4) + 0.0 AS total_asset, round(market_value, 4) + 0.0 AS market_value,
+  round(coalesce(float_profit_loss, total_asset - first_value(total_asset) OVER w), 4) + 0.0 AS float_profit_loss, round(coalesce(daily_profit_loss, total_asset - lag(total_asset) OVER w, 0), 4) + 0.0 AS daily_profit_loss, round(cash, 4) + 0.0 AS cash
+FROM h WINDOW w AS (PARTITION BY account_id ORDER BY date NULLS FIRST)""",
+    "account_latest": """
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY date DESC NULLS LAST, posted_at DESC NULLS LAST, total_asset DESC) AS k FROM qt_account)
+SELECT d.account_id, d.broker_id, CAST(CAST(d.date AS DATE) AS VARCHAR) AS day, d.total_asset, d.cash, CASE WHEN NOT isnan(b.commission) THEN b.commission END AS commission, b.min_size, CASE WHEN NOT isnan(b.pct_limit) THEN b.pct_limit END AS pct_limit
+FROM d LEFT JOIN qt_broker b ON b.broker_id = d.broker_id WHERE k = 1""",
+    "position_book": """
+WITH d AS (SELECT *, row_number() OVER (PARTITION BY account_id, code ORDER BY as_of DESC, position_id DESC) AS k FROM qt_position), h AS (SELECT * FROM d WHERE k = 1)
+SELECT account_id, code, CAST(CAST(as_of AS DATE) AS VARCHAR) AS as_of, name, market_value, hold_vol, cost, round(coalesce(CASE WHEN NOT isnan(price) THEN price END, market_value / nullif(abs(hold_vol), 0)), 6) + 0.0 AS price,
+  round(market_value / nullif(sum(market_value) OVER (PARTITION BY account_id), 0), 6) + 0.0 AS share FROM h""",
 }
