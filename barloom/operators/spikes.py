@@ -181,7 +181,7 @@ def source_model(h: pd.DataFrame) -> dict:
     level = _level(both, base, ALIKE)
     moves = np.abs(np.diff(both, axis=0)).ravel()
     moves = moves[~np.isnan(moves)]
-    tick = 0.0005 / np.exp(np.nanmedian(level)) if np.isfinite(level).any() else 1e-4
+    tick = 0.001 / np.exp(np.nanmedian(level)) if np.isfinite(level).any() else 1e-4
     scale = max(float(np.median(moves)) if len(moves) else 0.0, tick)
     with np.errstate(invalid="ignore"):
         clean = np.where(np.abs(both - level[:, None]) < max(12 * scale, 3e-3), both, np.nan)
