@@ -291,7 +291,12 @@ class Finder:
                     found.add((6, s, a, "name"))
                     return
         m = self.word_before.search(text, max(0, a - 40), a)
-        if m and self._plausible(m[0], low[a:b]):
+        if not m:
+            return
+        # unlisted names in small letters are believed only where a sentence begins or a title stands before them
+        lead = text[max(0, m.start() - 6) : m.start()].rstrip(" ")
+        opens = m.start() == 0 or lead[-1:] in ".!?;:,)\n\r\"0123456789" or lead.lower().rstrip(".").endswith(TITLES)
+        if self._plausible(m[0], low[a:b] if opens else ""):
             s = m.start()
             t = re.match(r"(?:Mr|Ms|Mrs|Miss|Dr|Prof)\.?\s", m[0], re.IGNORECASE)
             if not t:
