@@ -6,8 +6,9 @@ instrument before and after it, and the open of a state to its close and to
 the close before.  Observed values are clamped; a missing number takes, round
 after round, the weighted average of its neighbours.  A missing code takes the
 category distribution of its neighbours: the bars of the same name, and, where
-there is no name, the instruments whose state of that day is nearest in price;
-a label is taken if it has most of the weight.
+there is no name, the instruments whose state of that day is nearest in price.
+Bars that want the same instrument on the same day share its weight, round
+after round; a label is taken if it has most of the weight of its bar.
 
 Scale: states are aggregated map-side, at most one per instrument and day.
 Rounds run over the missing states and their direct neighbours only (clamped
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators.readings import is_code, usable
 
-ROUNDS = 8
+ROUNDS, CODE_ROUNDS = 8, 2
 #: Share of the weight that a code must have among the candidates of a bar: of those of its name, and of the nearest in price.
 MAJORITY, NEAREST = 0.5, 0.7
 #: Width of a price bucket for similarity edges, as a relative difference.
@@ -92,7 +93,13 @@ def propagate_codes(rows: DataFrame, states: DataFrame) -> DataFrame:
     # an instrument that has its own bar on that day is hardly the one that lacks its code, unless it is read many times a day
     taken = (F.col("at") == F.col("day")) & (F.col("n") < 3)
     pairs = pairs.withColumn("k", F.exp(-F.abs(F.log(F.col("p") / F.col("v"))) / SIMILAR) * F.when(taken, 0.1).otherwise(F.greatest(F.lit(1.0), F.col("n") / 2.0)))
-    mine = pairs.groupBy("bar_id", "code").agg(F.sum("k").alias("k")).groupBy("bar_id").agg(F.max_by("code", F.struct("k", "code")).alias("s_code"), (F.max("k") / F.sum("k")).alias("s_weight")).where(F.col("s_weight") >= NEAREST)
+    cand = pairs.groupBy("bar_id", "day", "code").agg(F.sum("k").alias("p"), F.max("n").alias("n"))
+    for _ in range(CODE_ROUNDS):
+        # a distribution over the candidates of a bar, then over the bars that want the same instrument on the same day
+        bar, state = Window.partitionBy("bar_id"), Window.partitionBy("code", "day")
+        cand = cand.withColumn("p", F.col("p") / F.sum("p").over(bar))
+        cand = cand.withColumn("p", F.when(F.col("n") < 3, F.col("p") * F.col("p") / F.sum("p").over(state)).otherwise(F.col("p")))
+    mine = cand.groupBy("bar_id").agg(F.max_by("code", F.struct("p", "code")).alias("s_code"), (F.max("p") / F.sum("p")).alias("s_weight")).where(F.col("s_weight") >= NEAREST)
     out = named.join(mine, "bar_id", "left")
     return out.select("bar_id", F.coalesce("filled_code", "s_code").alias("filled_code"), F.coalesce("weight", "s_weight").alias("weight")).dropDuplicates(["bar_id"])
 

@@ -63,8 +63,8 @@ def readings(bars: DataFrame, instruments: DataFrame, calendar: DataFrame, *colu
     The calendar is broadcast (fixed); instruments grow, so the join is left to the planner, which
     knows their size.  Null codes and dates are no readings."""
     own = bars.select("bar_id", "code", "date", F.to_date("date").alias("day"), *columns).where("code is not null and date is not null")
-    listed = instruments.select("code").where("code is not null").distinct()
-    days = calendar.where("is_open = 1").select(F.to_date("cal_date").alias("day")).distinct()
+    listed = instruments.select("code").where("code is not null")
+    days = calendar.where("is_open = 1").select(F.to_date("cal_date").alias("day"))
     return own.join(F.broadcast(days), "day", "left_semi").join(listed, "code", "left_semi")
 
 

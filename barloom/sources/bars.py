@@ -80,8 +80,8 @@ def daily_bars(spark: SparkSession, folder: str) -> DataFrame:
     bars = spark.read.parquet(f"{folder}/hs300etf_day.parquet").select("bar_id", "code", "date", *PRICES)
     within = lambda c: F.col(c).between(0.99 * F.col("low"), 1.01 * F.col("high"))
     clean = bars.where((F.col("low") > 0) & (F.col("high") >= F.col("low")) & (F.col("high") <= MOST_RANGE * F.col("low")) & within("open") & within("close"))
-    days = spark.read.parquet(f"{folder}/trade_calendar.parquet").where("is_open = 1").select(F.to_date("cal_date").alias("day")).distinct()
-    listed = spark.read.parquet(f"{folder}/etf_info.parquet").select("code").distinct()
+    days = spark.read.parquet(f"{folder}/trade_calendar.parquet").where("is_open = 1").select(F.to_date("cal_date").alias("day"))
+    listed = spark.read.parquet(f"{folder}/etf_info.parquet").select("code")
     own = clean.withColumn("day", F.to_date("date")).join(F.broadcast(days), "day", "left_semi").join(listed, "code", "left_semi")
     whole = {k: F.round(F.col(c) * 1000).cast("long") for k, c in zip("ohlc", PRICES, strict=True)}
     last = F.struct("date", "bar_id", *(x.alias(k) for k, x in whole.items()))
