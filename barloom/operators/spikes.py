@@ -25,9 +25,10 @@ input are ignored.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,9 @@ TREES, SAMPLE, DEPTH = 16, 128, 7
 HALF, SIDE = 10, 2
 #: Logarithmic distance within which the prices of a day agree.
 ALIKE = 0.3
+RULES = (None, "stuck", "excursion", "unit", "limit")
+RULE_NAMES = pa.array(RULES)
+FOUND = pa.schema([("bar_id", pa.int64()), ("code", pa.string()), ("day", pa.date32()), ("field", pa.string()), ("value", pa.float64()), ("score", pa.float64()), ("rule", pa.string())])
 FOUND_SCHEMA = "bar_id long, code string, day date, field string, value double, score double, rule string"
 
 
@@ -163,13 +167,14 @@ def _features(lv: np.ndarray, d: np.ndarray, m: dict, run: np.ndarray) -> tuple[
     return x, exc, level
 
 
-def source_model(h: pd.DataFrame) -> dict:
-    """The model of one source from its history: a row a day with n, and for each field the
-    least and the largest of its positive usable values."""
-    h = h.sort_values("day", ignore_index=True)
-    days = len(h)
+def source_model(h: dict[str, np.ndarray]) -> dict:
+    """The model of one source from its history: a row a day (number of the day) and for each field the
+    least and the largest of its positive usable values (NaN: none)."""
+    order = np.argsort(h["day"], kind="stable")
+    h = {k: v[order] for k, v in h.items()}
+    days = len(order)
     with np.errstate(invalid="ignore"):
-        stack = np.log(np.stack([h[f"{f}_{k}"].to_numpy(float) for f in FIELDS for k in ("least", "most")], axis=1))
+        stack = np.log(np.stack([h[f"{f}_{k}"] for f in FIELDS for k in ("least", "most")], axis=1))
     base = _base_level(stack)
     reps = []
     for k in range(len(FIELDS)):
@@ -186,7 +191,7 @@ def source_model(h: pd.DataFrame) -> dict:
     with np.errstate(invalid="ignore"):
         clean = np.where(np.abs(both - level[:, None]) < max(12 * scale, 3e-3), both, np.nan)
     level = _level(clean, level, np.inf)
-    date = h["day"].to_numpy().astype("datetime64[D]").astype(np.int32)
+    date = h["day"]
     left, right, near_l, near_r = _sides(clean, SIDE)
     padded = np.r_[date, date[-1]]
     gap_l = np.sqrt(np.clip((date - np.where(near_l >= 0, date[near_l], date)) / 4.0, 1, None))
@@ -203,7 +208,7 @@ def source_model(h: pd.DataFrame) -> dict:
     m["season"] = season
     xs = []
     for k, f in enumerate(FIELDS):
-        one = _run_values(h[f"{f}_least"].to_numpy(float), h[f"{f}_most"].to_numpy(float))
+        one = _run_values(h[f"{f}_least"], h[f"{f}_most"])
         n = ~np.isnan(stack[:, 2 * k])  # days without a usable value do not break a run
         v = one[n]
         same = np.r_[False, v[1:] == v[:-1]] if len(v) else np.zeros(0, bool)
@@ -268,15 +273,13 @@ def _windows(values: np.ndarray, half: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([pad, values, pad]), 2 * half + 1, axis=0).reshape(len(values), -1)
 
 
-def judge(rows: pd.DataFrame, m: dict) -> pd.DataFrame:
-    """Scores of all readings of one source (or one salt of it) and the rule each offends, if any."""
-    out = []
-    day = rows["day"].to_numpy().astype("datetime64[D]").astype(np.int32)
+def judge(day: np.ndarray, prices: dict[str, np.ndarray], m: dict) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each field: the places of the readings that have a value, their scores, and the number in
+    RULES of the rule each offends (0: none)."""
     d = np.clip(np.searchsorted(m["day"], day), 0, len(m["day"]) - 1)
     for f in FIELDS:
-        v = rows[f].to_numpy(float)
-        have = ~np.isnan(v)
-        v, at = v[have], d[have]
+        have = np.flatnonzero(~np.isnan(prices[f]))
+        v, at = prices[f][have], d[have]
         positive = v > 0
         level = m["level"][at]
         lv = np.where(positive, np.log(np.where(positive, v, 1.0)), np.nan_to_num(level, nan=0.0) - 50.0)
@@ -287,13 +290,12 @@ def judge(rows: pd.DataFrame, m: dict) -> pd.DataFrame:
         tens = np.abs(lv - level) / np.log(10.0)
         unit = (np.round(tens) >= 1) & (np.abs(tens - np.round(tens)) < 0.12) & (exc > EXCURSION / 2)
         stands_out = score >= SCORE
-        rule = np.full(len(v), None, object)
-        rule[stands_out & in_run & m[f + "_later"][at] & (run >= STUCK_DAYS) & (m[f + "_quiet"] <= QUIET_SHARE)] = "stuck"
-        rule[stands_out & (exc > m[f + "_need"][at])] = "excursion"
-        rule[stands_out & unit] = "unit"
-        rule[~positive] = "limit"
-        out.append(rows.loc[have, ["bar_id", "code", "day"]].assign(field=f, value=v, score=score, rule=rule))
-    return pd.concat(out, ignore_index=True)
+        rule = np.zeros(len(v), np.int8)
+        rule[stands_out & in_run & m[f + "_later"][at] & (run >= STUCK_DAYS) & (m[f + "_quiet"] <= QUIET_SHARE)] = RULES.index("stuck")
+        rule[stands_out & (exc > m[f + "_need"][at])] = RULES.index("excursion")
+        rule[stands_out & unit] = RULES.index("unit")
+        rule[~positive] = RULES.index("limit")
+        yield f, have, score, rule
 
 
 def daily_history(readings: DataFrame) -> DataFrame:
@@ -305,6 +307,13 @@ def daily_history(readings: DataFrame) -> DataFrame:
     return readings.groupBy("code", "day").agg(*aggs)
 
 
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """Doubles with NaN for null, or days as numbers."""
+    if pa.types.is_date(column.type):
+        return column.cast(pa.int32()).to_numpy()
+    return column.to_numpy().astype(float, copy=False)
+
+
 def score_readings(readings: DataFrame, block_rows: int = 50_000, only_flagged: bool = False) -> DataFrame:
     """Score every reading.
 
@@ -312,19 +321,24 @@ def score_readings(readings: DataFrame, block_rows: int = 50_000, only_flagged:
     Returns a row per reading and field that has a value: its isolation score and the rule it
     offends (null: none).  ``only_flagged`` leaves out rows that offend no rule."""
 
-    def model(h: pd.DataFrame) -> pd.DataFrame:
-        parts = int(h["n"].sum() // block_rows) + 1
-        blob = pickle.dumps(source_model(h), protocol=5)
-        return pd.DataFrame({"code": h["code"].iloc[0], "part": np.arange(parts, dtype="int32"), "parts": np.int32(parts), "model": [blob] * parts})
-
-    models = daily_history(readings).groupBy("code").applyInPandas(model, "code string, part int, parts int, model binary")
-
-    def apply(rows: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(models):
-            return pd.DataFrame({"bar_id": [], "code": [], "day": [], "field": [], "value": [], "score": [], "rule": []})
-        out = judge(rows, pickle.loads(models["model"].iloc[0]))
-        return out[out["rule"].notna()] if only_flagged else out
-
+    def model(h: pa.Table) -> pa.Table:
+        parts = int(sum(h["n"].to_numpy()) // block_rows) + 1
+        blob = pickle.dumps(source_model({c: _numbers(h[c]) for c in h.column_names if c not in ("code", "n")}), protocol=5)
+        return pa.table({"code": [h["code"][0].as_py()] * parts, "part": pa.array(range(parts), pa.int32()), "model": pa.array([blob] * parts, pa.binary())})
+
+    def apply(rows: pa.Table, models: pa.Table) -> pa.Table:
+        out = []
+        if len(rows) and len(models):
+            keys = rows.select(["bar_id", "code", "day"])
+            for f, have, score, rule in judge(_numbers(rows["day"]), {f: _numbers(rows[f]) for f in FIELDS}, pickle.loads(models["model"][0].as_py())):
+                keep = np.flatnonzero(rule) if only_flagged else slice(None)
+                have, score, rule = have[keep], score[keep], rule[keep]
+                if len(have):
+                    part = keys.take(have).append_column("field", pa.array([f] * len(have))).append_column("value", rows[f].take(have))
+                    out.append(part.append_column("score", pa.array(score, pa.float64())).append_column("rule", RULE_NAMES.take(pa.array(rule))))
+        return pa.concat_tables(out) if out else FOUND.empty_table()
+
+    models = daily_history(readings).groupBy("code").applyInArrow(model, "code string, part int, model binary")
     sizes = readings.groupBy("code").agg((F.floor(F.count(F.lit(1)) / block_rows) + 1).cast("int").alias("parts"))
     salted = readings.join(sizes, "code").withColumn("part", F.pmod(F.hash("bar_id"), F.col("parts"))).drop("parts")
-    return salted.groupBy("code", "part").cogroup(models.groupBy("code", "part")).applyInPandas(apply, FOUND_SCHEMA)
+    return salted.select("bar_id", "code", "day", *FIELDS, "part").groupBy("code", "part").cogroup(models.groupBy("code", "part")).applyInArrow(apply, FOUND_SCHEMA)
