@@ -1,7 +1,7 @@
 """What counts as a reading and as a usable value.
 
 A reading is a bar whose code is a listed instrument and whose time falls on an
-open day.  A price is usable unless it is null, NaN or a stand-in: a constant
+open day.  A price is usable unless it is null, not a finite number or a stand-in: a constant
 far above any price that recurs over unrelated instruments.
 """
 
@@ -44,7 +44,7 @@ def find_stand_ins(bars: DataFrame, fields: tuple[str, ...] = ("open", "close"))
 
 def usable(c: Column, stand_ins: list[float]) -> Column:
     """The price, or null where it has no usable value.  Zero and negative prices are values."""
-    bad = F.isnan(c)
+    bad = F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
     for v in stand_ins:
         bad = bad | (c == F.lit(v))
     return F.when(~bad, c)

@@ -10,8 +10,7 @@ or negative), excursions (far off both sides and back), unit errors (a power
 of ten off the level) and stuck runs.
 
 Scale: readings are first reduced to at most one row per source and day with
-map-side partial aggregates (count, minimum, maximum and sum of the logarithm),
-so a source's history is bounded by the days of the calendar however many
+map-side partial aggregates (count, least and largest value of each field), so a source's history is bounded by the days of the calendar however many
 readings it has.  The model of a source is built from that bounded history;
 readings are scored in salted groups of at most about ``block_rows`` rows, so a
 source holding a third of all rows is spread over as many tasks as it needs.

@@ -70,6 +70,11 @@ def test_stand_ins_recur_over_unrelated_instruments(spark):
     assert R.find_stand_ins(df.withColumn("low", F.lit(None).cast("double"))) == []
 
 
+def test_usable(spark):
+    df = spark.createDataFrame([(1.5,), (0.0,), (-2.0,), (float("nan"),), (float("inf"),), (float("-inf"),), (9.0,), (None,)], "v double")
+    assert [r[0] for r in df.select(R.usable(F.col("v"), [9.0])).collect()] == [1.5, 0.0, -2.0, None, None, None, None, None]
+
+
 # ---- p1 ----------------------------------------------------------------------
 def test_fill_marks_every_cell_and_leaves_observed_ones(spark):
     rows = market()
