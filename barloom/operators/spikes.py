@@ -10,7 +10,8 @@ or negative), excursions (far off both sides and back), unit errors (a power
 of ten off the level) and stuck runs.
 
 Scale: readings are first reduced to at most one row per source and day with
-map-side partial aggregates (count, least and largest value of each field), so a source's history is bounded by the days of the calendar however many
+map-side partial aggregates (count, least and largest value of each field), so
+a source's history is bounded by the days of the calendar however many
 readings it has.  The model of a source is built from that bounded history;
 readings are scored in salted groups of at most about ``block_rows`` rows, so a
 source holding a third of all rows is spread over as many tasks as it needs.
@@ -45,6 +46,8 @@ TREES, SAMPLE, DEPTH = 16, 128, 7
 HALF, SIDE = 10, 2
 #: Logarithmic distance within which the prices of a day agree.
 ALIKE = 0.3
+#: A stretch in another unit has at most this many days of readings; a longer one is a lasting change.
+UNIT_DAYS = 90
 RULES = (None, "stuck", "excursion", "unit", "limit")
 RULE_NAMES = pa.array(RULES)
 FOUND = pa.schema([("bar_id", pa.int64()), ("code", pa.string()), ("day", pa.date32()), ("field", pa.string()), ("value", pa.float64()), ("score", pa.float64()), ("rule", pa.string())])
@@ -240,13 +243,32 @@ def _base_level(stack: np.ndarray) -> np.ndarray:
         agree = np.flatnonzero(~np.isnan(spread))
     if not len(agree):
         return np.full(days, np.nan)
-    level = _row_nanmedian(_windows(stack[agree], HALF))
+    level = _row_nanmedian(_windows(_in_one_unit(stack[agree]), HALF))
     after = np.clip(np.searchsorted(agree, np.arange(days)), 0, len(agree) - 1)
     before = np.maximum(after - 1, 0)
     nearer = np.where(np.abs(agree[before] - np.arange(days)) <= np.abs(agree[after] - np.arange(days)), before, after)
     return level[np.where(agree[after] == np.arange(days), after, nearer)]
 
 
+def _in_one_unit(stack: np.ndarray) -> np.ndarray:
+    """The rows with stretches in another unit, of up to UNIT_DAYS days, put back: a jump by a power of ten
+    and, later, the same jump back enclose one.  A jump that is not taken back is a lasting change."""
+    tens = np.diff(_row_nanmedian(stack)) / np.log(10.0)
+    jumps = np.flatnonzero((np.abs(tens) > 0.88) & (np.abs(tens - np.round(tens)) < 0.12))
+    opened: list[tuple[int, int]] = []
+    out = stack
+    for at in jumps.tolist():
+        size = int(np.round(tens[at]))
+        if opened and opened[-1][1] == -size and at - opened[-1][0] <= UNIT_DAYS:
+            first, up = opened.pop()
+            if out is stack:
+                out = stack.copy()
+            out[first + 1 : at + 1] -= up * np.log(10.0)
+        else:
+            opened.append((at, size))
+    return out
+
+
 def _level(both: np.ndarray, base: np.ndarray, within: float) -> np.ndarray:
     """Median of the values around that are not far from the base; where there is none, the base."""
     with np.errstate(invalid="ignore"):

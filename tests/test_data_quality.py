@@ -136,6 +136,9 @@ def test_spikes_units_stuck_and_limits(spark):
         put(rows, 450 + d, open=rows[449 + d][4] * 100)  # a long stretch of one field in another unit
     for d in range(21, 28):
         put(rows, 600 + d, close=rows[619][7])
+    for d in range(50, 90):
+        r = rows[1050 + d - 1]
+        put(rows, 1050 + d, open=r[4] / 10, close=r[7] / 10)  # both fields for long
     for d in range(75, 150):
         r = rows[750 + d]
         put(rows, 751 + d, open=r[4] / 2, close=r[7] / 2)  # a split
@@ -147,6 +150,7 @@ def test_spikes_units_stuck_and_limits(spark):
     got = {(r["bar_id"], r["field"]): r["rule"] for r in scored.where("rule is not null").collect()}
     want = {(30, "open"): "excursion", (99_999, "open"): "excursion", (300, "close"): "limit", (301, "close"): "limit"}
     want |= {(450 + d, "open"): "unit" for d in range(40, 100)} | {(600 + d, "close"): "stuck" for d in range(21, 28)}
+    want |= {(1050 + d, f): "unit" for d in range(50, 90) for f in ("open", "close")}
     assert got == want
     assert scored.where("score is null").count() == 0
     few = spikes.score_readings(readings(spark, rows, codes, "open", F.when(~F.isnan("close"), F.col("close")).alias("close")), block_rows=20, only_flagged=True)
