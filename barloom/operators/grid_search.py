@@ -38,29 +38,34 @@ def _averages(close: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def pair_returns(open_: np.ndarray, close: np.ndarray, fasts: list[int], slow: int, s: Settings, rules) -> list[float]:
-    """Final less opening assets of each fast period against one slow one, on whole-number prices."""
+def pair_returns(open_: np.ndarray, averages: dict[int, np.ndarray], fasts: list[int], slow: int, s: Settings, rules) -> list[float]:
+    """Final less opening assets of each fast period against one slow one, on whole-number prices.
+
+    averages: by period.  The crosses of all fast periods are found at once."""
     n = len(open_)
-    kept = np.arange(slow, n)
-    if not len(kept):
+    if n <= slow or not fasts:
         return []
-    price = open_[kept] / 1000.0
-    change = open_[kept] / open_[kept - 1] - 1
+    price = open_[slow:] / 1000.0
+    change = open_[slow:] / open_[slow - 1 : -1] - 1
     up, down = np.cumprod(1 + change), np.cumprod(1 - change)
     exact = bool((up > 0).all() and (np.abs(1 - change) > 1e-9).all())
-    ma_slow = _averages(close, slow)
+    side = np.sign(np.stack([averages[f][slow - 1 :] for f in fasts]) - averages[slow][slow - 1 :])
+    before, now = side[:, :-1], side[:, 1:]
+    # a signal is traded on the row after it; the first kept row never trades
+    trade = np.zeros(now.shape, np.int8)
+    trade[:, 1:] = ((before <= 0) & (now > 0))[:, :-1].astype(np.int8) - ((before >= 0) & (now < 0))[:, :-1]
+    which, places = np.nonzero(trade)
+    ends = np.searchsorted(which, np.arange(len(fasts) + 1)).tolist()
+    places, sides = places.tolist(), trade[which, places].tolist()
+    prices, ups, downs = price.tolist(), up.tolist(), down.tolist()
     out = []
-    for f in fasts:
-        side = np.sign(_averages(close, f) - ma_slow)
-        now, before = side[kept], side[kept - 1]
-        signal = np.where((before <= 0) & (now > 0), 1, np.where((before >= 0) & (now < 0), -1, 0))
-        trade = np.r_[0, signal[:-1]]
+    for k in range(len(fasts)):
         if exact:
-            places = np.flatnonzero(trade)
-            total = final_asset(price, up, down, places, trade[places], s, rules)
+            mine = slice(ends[k], ends[k + 1])
+            total = final_asset(prices, ups, downs, places[mine], sides[mine], s, rules)
         else:
-            total = replay(price, change, trade, s, rules)[-1, 3]
-        out.append(np.round(np.round(total, 4) - s.cash, 4))  # half to even, twice
+            total = replay(price, change, trade[k], s, rules)[-1, 3]
+        out.append(round(round(total, 4) - s.cash, 4))  # half to even, twice
     return out
 
 
@@ -74,9 +79,10 @@ def grid_returns(bars: DataFrame, fast: tuple[int, ...] = FAST, slow: tuple[int,
         p = p.sort_values("day")
         o, c = p["o"].to_numpy(np.int64), p["c"].to_numpy(np.int64)
         rows = []
+        averages = {n: _averages(c, n) for n in {*fast, *groups[key[1]]}}
         for sl in groups[key[1]]:
             under = [f for f in fast if f < sl]
-            rows += [(key[0], f, sl, x) for f, x in zip(under, pair_returns(o, c, under, sl, s, r), strict=False)]
+            rows += [(key[0], f, sl, x) for f, x in zip(under, pair_returns(o, averages, under, sl, s, r), strict=False)]
         return pd.DataFrame(rows, columns=["code", "period_fast", "period_slow", "total_returns"])
 
     spread = bars.select("code", "day", "o", "c", F.explode(F.sequence(F.lit(0), F.lit(len(groups) - 1))).alias("part"))

@@ -12,6 +12,8 @@ the calendar; instruments and parameter pairs are the parallelism.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,41 +60,36 @@ RULES = {
 LEDGER_COLUMNS = "position double, market_value double, cash double, total_asset double"
 
 
-class LostTrack(Exception):
-    """A repeated trade under rules that do not say what it means."""
-
-
-def _lots(price: float, cash: float, s: Settings) -> float:
-    return float(np.float64(cash * (1 - s.commission) / price) // s.lot * s.lot)
-
-
-def strike(trade: int, price: float, held: float, worth: float, cash: float, s: Settings, r: Rules) -> tuple[float, float, float]:
-    """(units, market value, cash) after a trade on the opposite or an empty side."""
-    buy, sell = price + s.slippage, price - s.slippage
-    own, far = (buy, sell) if trade > 0 else (sell, buy)
-    if held:
-        if r.close == "mark":
-            cash = cash + worth
+@functools.lru_cache(64)
+def striker(s: Settings, r: Rules) -> Callable[[int, float, float, float, float], tuple[float, float, float]]:
+    """The function (trade, price, units held, their market value, cash) -> (units, market value, cash)
+    of a trade on the opposite or an empty side."""
+    slip, fee, lot, fixed, share = s.slippage, s.commission, s.lot, s.units, s.position_limit
+    after_fee, at_mark, signed = 1 - fee, r.close == "mark", r.signed
+    sizing = {(1, False): r.flat_long, (-1, False): r.flat_short, (1, True): r.short_long, (-1, True): r.long_short}
+
+    def strike(trade: int, price: float, held: float, worth: float, cash: float) -> tuple[float, float, float]:
+        own = price + slip if trade > 0 else price - slip
+        if held:
+            if at_mark:
+                cash = cash + worth
+            else:
+                back = (price + slip if held > 0 else price - slip) * abs(held)
+                cash = cash + back - back * fee
+        how = sizing[trade, held != 0]
+        if fixed is not None:
+            units = fixed if trade > 0 or not signed else -fixed
+        elif how == "unit":
+            units = own * trade
         else:
-            back = own_close(buy, sell, held) * abs(held)
-            cash = cash + back - back * s.commission
-        how = r.short_long if trade > 0 else r.long_short
-    else:
-        how = r.flat_long if trade > 0 else r.flat_short
-    if s.units is not None:
-        units = s.units if trade > 0 or not r.signed else -s.units
-    elif how == "unit":
-        units = own * trade
-    else:
-        units = trade * _lots({"own": own, "raw": price, "far": far}[how], cash * s.position_limit, s)
-    value = abs(units) * own
-    cash = cash - value
-    return units, value, cash - value * s.commission
-
-
-def own_close(buy: float, sell: float, held: float) -> float:
-    """The price at which a deal closes a holding."""
-    return buy if held > 0 else sell
+            at = own if how == "own" else price if how == "raw" else price - slip if trade > 0 else price + slip
+            # whole lots that the cash buys; none at a price that slippage has brought to nothing
+            units = trade * (cash * share * after_fee / at // lot * lot) if at > 0 else 0.0
+        value = abs(units) * own
+        cash = cash - value
+        return units, value, cash - value * fee
+
+    return strike
 
 
 def replay(price: np.ndarray, change: np.ndarray, trade: np.ndarray, s: Settings, r: Rules) -> np.ndarray:
@@ -101,6 +98,7 @@ def replay(price: np.ndarray, change: np.ndarray, trade: np.ndarray, s: Settings
     out = np.full((n, 4), np.nan)
     if not n:
         return out
+    strike = striker(s, r)
     units, worth, cash, total = 0.0, 0.0, float(s.cash), float(s.cash)
     out[0] = units, worth, cash, total
     last = 0
@@ -114,7 +112,7 @@ def replay(price: np.ndarray, change: np.ndarray, trade: np.ndarray, s: Settings
         if units:
             values = np.cumprod(np.r_[worth, 1 + np.sign(units) * change[rows]])[1:]
             out[rows, 1], out[rows, 3] = values, values + cash
-            worth, total = values[-1], values[-1] + cash
+            worth, total = float(values[-1]), float(values[-1]) + cash
         else:
             out[rows, 1], out[rows, 3] = 0.0, total
             worth = 0.0
@@ -128,31 +126,32 @@ def replay(price: np.ndarray, change: np.ndarray, trade: np.ndarray, s: Settings
                 return out
             stay(k)
             continue
-        units, worth, cash = strike(int(trade[k]), float(price[k]), units, worth, cash, s, r)
+        units, worth, cash = strike(int(trade[k]), float(price[k]), units, worth, cash)
         total = worth + cash
         out[k], last = (units, worth, cash, total), k
     stay(n - 1)
     return out
 
 
-def final_asset(price: np.ndarray, up: np.ndarray, down: np.ndarray, places: np.ndarray, sides: np.ndarray, s: Settings, r: Rules) -> float:
+def final_asset(price: list[float], up: list[float], down: list[float], places: list[int], sides: list[int], s: Settings, r: Rules) -> float:
     """The last total asset only, visiting nothing but the trades.  up and down are the running products
     of one plus and one less the change; both must be nonzero throughout."""
+    strike, lost = striker(s, r), r.repeat == "lost"
     units, worth, cash, at = 0.0, 0.0, float(s.cash), 0
     total = cash
-    for k, side in zip(places.tolist(), sides.tolist(), strict=True):
+    for k, side in zip(places, sides, strict=True):
         if side * units > 0:
-            if r.repeat == "lost":
+            if lost:
                 return float("nan")
             continue
         if units:
             run = up if units > 0 else down
-            worth = worth * float(run[k - 1] / run[at])  # the mark of the row before
-        units, worth, cash = strike(side, float(price[k]), units, worth, cash, s, r)
+            worth = worth * (run[k - 1] / run[at])  # the mark of the row before
+        units, worth, cash = strike(side, price[k], units, worth, cash)
         total, at = worth + cash, k
     if units:
         run = up if units > 0 else down
-        total = worth * float(run[-1] / run[at]) + cash
+        total = worth * (run[-1] / run[at]) + cash
     return total
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from barloom.operators.ledger import RULES, Settings, strike
+from barloom.operators.ledger import RULES, Settings, striker
 from barloom.session import shared_folder
 
 OUT = "code string, day date, status string, signal int, trade int, position double, market_value double, cash double, total_asset double"
@@ -67,7 +67,7 @@ class Line:
 
     def _move(self, trade: int, price: float, change: float) -> None:
         if trade and trade * self.units <= 0:
-            self.units, self.worth, self.cash = strike(trade, price, self.units, self.worth, self.cash, self.s, self.r)
+            self.units, self.worth, self.cash = striker(self.s, self.r)(trade, price, self.units, self.worth, self.cash)
             self.total = self.worth + self.cash
         elif trade and self.r.repeat == "lost":
             self.lost = True

@@ -110,7 +110,7 @@ def test_ledger_properties(rows, rules):
     up, down = np.cumprod(1 + change), np.cumprod(1 - change)
     if (np.abs(down) > 1e-6).all() and (np.abs(1 - change) > 1e-6).all() and rules != "c":
         places = np.flatnonzero(trade[1:]) + 1
-        total = final_asset(price, up, down, places, trade[places], Settings(), RULES[rules])
+        total = final_asset(price.tolist(), up.tolist(), down.tolist(), places.tolist(), trade[places].tolist(), Settings(), RULES[rules])
         assert np.isnan(total) == np.isnan(out[-1, 3])
         if not np.isnan(total):
             assert total == pytest.approx(out[-1, 3], rel=1e-6) or any(abs(v / 100 - round(v / 100)) < 1e-6 for v in out[:, 0])
