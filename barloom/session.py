@@ -26,6 +26,13 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan over all cores where the table lies in fewer pieces than there are cores, else
+    as they lie.  Such a table is small beside the cluster, and so is the exchange."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of df, computed now and once, read from reliable storage afterwards."""
     shared_folder(df.sparkSession)
