@@ -2,54 +2,82 @@
 
 Anchor expansion: an Aho-Corasick automaton finds anchors (at-signs and how
 they are spelt out, telephone and identity cues, number prefixes, street
-words, name parts and the cues of a named person); a deterministic local
-parser of each kind expands the text around an anchor to the whole mention and
-validates it.  Every mention is replaced by a placeholder of its type; the
-rest of the text is unchanged.
+words, name parts, titles, labels and words that persons do or have done to
+them); a deterministic local parser of each kind expands the text around an
+anchor to the whole mention and validates it.  Every mention is replaced by a
+placeholder of its type; the rest of the text is unchanged.
 
 Kinds: email, phone, id_number, address, name.  A mention's start is that of
 its first character as written: a leading + or bracket of a phone number
 belongs to it, a title does not, an address starts at its first part.
 
-Scale: texts are scanned where they lie, in Arrow batches, without a shuffle;
-a parser looks at a bounded surrounding of its anchor only, so time is linear
-in the text, however long it is.  The list of name parts is a small fixed
-table whose size is checked; it is sent to the executors once.
+A name is believed on general evidence, not on whole sentences: two known
+parts; or a title, a label of a person or the closing of a letter beside it;
+or, for capitalised words none of which is an ordinary one, a verb of speech
+or dealing, an agent's "by" or a label, unless an article before or a noun
+such as fund or desk behind makes it a thing.  The list of parts is
+incomplete; what stands where only a person can, throughout the corpus, is
+learnt as further parts first.
+
+Scale: texts are scanned where they lie, in Arrow batches, without a shuffle of
+texts; a parser looks at a bounded surrounding of its anchor only and
+candidates are settled in one sweep for each rank, so time is n log n in the
+text, however long it is.  Learning takes one pass of the texts and an
+aggregate of words; what it gives is bounded, as every learnt part holds a
+fixed share of all.  Listed parts are a small fixed table whose size is checked.
 
 Defined results: null texts have no mentions and stay null; empty and blank
 texts have none; overlapping candidates are settled in favour of the more
-strictly validated kind, then the longer one; repeated texts are each
-reported; without a list of name parts, names are found by cues only.
+strictly validated kind, then the first, then the longer one; repeated texts
+are each reported; without a list of name parts, names are found by cues only.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.session import spread
+
 KINDS = ("email", "id_number", "phone", "address", "name")
 #: The list of name parts must not exceed this many rows.
 MOST_NAME_PARTS = 100_000
+#: A part is learnt if it stands where only a person can in this many documents and in this share of all such places.
+LEAST_SEEN, LEAST_PART = 3, 0.0001
 
 _HAN = "㐀-䶿一-鿿"
 _LATIN = "A-Za-zÀ-ÖØ-öø-ž"
 # ---- anchors, fixed values -------------------------------------------------
 AT = ("@", "＠", "(at)", "[at]", "{at}", "<at>", " at ", "[ at ]", "( at )")
-PHONE_CUES = ("phone", "tel", "call", "mobile", "cell", "text me on", "ring", "rang twice", "desk line is", "whatsapp", "fax", "电话", "手机", "拨打", "就打", "致电", "热线")
+PHONE_CUES = ("phone", "tel", "call", "mobile", "cell", "text me on", "ring", "line is", "reach me", "whatsapp", "fax", "电话", "手机", "拨打", "就打", "致电", "热线")
 PHONE_PREFIXES = ("+", "(", "（", "00", "01", "02", "03", "04", "05", "06", "07", "08", "09", "12", "13", "14", "15", "16", "17", "18", "19", "555")
 CENTURIES = ("19", "20")
-ID_CUES = ("id:", "id no", "identity", "kyc", "tax payer", "taxpayer", "passport", "social security", "national insurance", "ssn", "holder gave", "身份证", "证件", "护照", "实名")
+ID_CUES = ("id:", "id no", "identity", "identification", "kyc", "tax payer", "taxpayer", "passport", "social security", "national insurance", "ssn", "身份证", "证件", "护照", "实名")
 NO_PERSON_CUES = ("order", "ref", "ticket", "contract", "batch", "version", "build", "委托", "合同", "工单", "版本", "编号")
-STREETS = ("road", "street", "lane", "avenue", "close", "terrace", "drive", "court", "square", "crescent", "rd", "st", "ave", "ln", "dr", "blvd", "路", "街", "巷", "大道", "胡同", "弄")
-TITLES = ("mr", "ms", "mrs", "miss", "dr", "prof", "sir", "madam")
-#: What stands directly before, or directly behind, a named person.
-NAME_BEFORE = ("minutes taken by ", "account holder: ", "please ask ", "forwarded by ", "on leave: ", "thanks to ", "trader: ", "was moved by ", "spoke to ", "regards,", "signed by ", "contact: ", "attn: ", '"owner": "', '"name": "', "mr ", "ms ", "mrs ", "dr. ", "mr. ", "ms. ", "mrs. ", "prof. ", "dr ", "联系人：", "联系人:", "经办：", "经办:", "感谢", "昨天和", "负责人：")
-NAME_BEHIND = (" wrote the ", " disagreed with", " signed the ", "女士", "先生", "小姐", "今天请假", "聊过", "提供数据")
+STREETS = ("road", "street", "lane", "avenue", "close", "terrace", "drive", "court", "square", "crescent", "way", "place", "row", "gardens", "mews", "quay", "parade", "boulevard", "rd", "st", "ave", "ln", "dr", "blvd", "路", "街", "巷", "大道", "胡同", "弄")
+TITLES = ("mr", "ms", "mrs", "miss", "dr", "prof", "professor", "sir", "madam")
+#: Labels of a person's field: what stands before a colon.
+LABELS = ("name", "owner", "holder", "trader", "contact", "attn", "attention", "manager", "analyst", "author", "signed", "by", "from", "to", "cc", "client", "customer", "employee", "staff", "caller", "witness", "applicant", "tenant", "sender", "recipient", "assignee", "reporter", "reviewer", "editor", "leave", "absent", "present", "attendee", "attendees", "chair", "secretary", "payee", "beneficiary", "person", "user")
+#: How letters close.
+CLOSINGS = ("regards", "sincerely", "yours", "cheers", "best", "wishes", "faithfully", "respectfully", "thanks")
+#: Words directly before a person who is spoken to, dealt with or has done something.
+BEFORE = ("by", "with", "from", "ask", "asked", "tell", "told", "met", "meet", "called", "phoned", "emailed", "contact", "contacted", "thank", "thanks to", "spoke to", "spoke with", "speak to", "speak with", "talk to", "talked to", "talk with", "talked with", "meeting with", "call with", "behalf of", "according to", "wrote to", "write to", "reply to", "replied to", "introduced", "hired", "invited", "colleague", "named", "i am", "i'm", "my name is", "dear", "hi", "hello")
+#: Words directly behind a person who speaks, writes, thinks or deals.
+BEHIND = ("wrote", "writes", "said", "says", "signed", "signs", "disagreed", "disagrees", "agreed", "agrees", "asked", "asks", "called", "told", "tells", "thinks", "thought", "believes", "noted", "explained", "reviewed", "approved", "confirmed", "reported", "joined", "resigned", "replied", "answered", "sent", "forwarded", "phoned", "emailed", "lives", "works", "retired", "promised", "complained", "admitted", "suggested", "objected", "insisted", "argued", "apologised", "apologized", "remembers", "forgot", "who")
+#: Nouns of things that bear names: before them capitalised words are no person.
+THINGS = frozenset("desk fund funds book strategy strategies setup account portfolio mandate sleeve basket bank street road lane avenue company ltd inc plc group index board team capital partners partnership trust office branch pattern section chapter drill lot side ticket session model system report gap rule cross line".split())
+ARTICLES = frozenset("the a an this that these those our their its his her my your each every no some any".split())
+ZH_BEHIND = ("女士", "先生", "小姐", "老师", "经理", "主任")
+ZH_VERBS = ("请假", "休假", "聊", "谈", "说", "表示", "认为", "提供", "告诉", "通知", "回复", "来电", "打来", "签字", "签署", "复核", "审批", "批准", "负责", "确认", "建议", "提出", "反对", "离职", "入职", "出差", "汇报", "写道", "指出", "转发", "解释", "强调", "补充", "来访", "参加", "主持", "介绍", "询问", "要求", "发来", "寄来")
+ZH_WHEN = ("今天", "昨天", "明天", "今早", "昨晚", "上周", "本周", "下周", "已经", "已", "刚刚", "刚", "正在", "曾")
+ZH_LEADS = ("感谢", "联系", "转告", "请", "和", "与", "跟", "同", "向", "找", "问", "由", "让", "给", "谢", "据", "经", "叫", "是")
+ZH_LABELS = ("人", "经办", "姓名", "客户", "复核", "审批", "签字", "交易员", "经理", "收件", "寄件", "用户", "负责")
 
 # ---- parsers ---------------------------------------------------------------
 _AT_ANY = r"(?:\s?(?:@|＠|[(\[{<]\s?at\s?[)\]}>])\s?|\s(?:at|AT)\s)"
@@ -84,7 +112,7 @@ _NINO = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\s?\d{2}\s?\d{2}\s?\d{2}\s?[A-D](?!
 _PASSPORT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{1,2}\d{2}\s?\d{5,7}(?![A-Za-z0-9])", re.IGNORECASE)
 _WEIGHTS, _CHECKS = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2), "10X98765432"
 
-_STREET_EN = r"(?:Road|Street|Lane|Avenue|Close|Terrace|Drive|Court|Square|Crescent|Boulevard|Rd|St|Ave|Ln|Dr|Blvd)\b\.?"
+_STREET_EN = r"(?:Road|Street|Lane|Avenue|Close|Terrace|Drive|Court|Square|Crescent|Way|Place|Row|Gardens|Mews|Quay|Parade|Boulevard|Rd|St|Ave|Ln|Dr|Blvd)\b\.?"
 _ADDRESS_EN = re.compile(
     rf"(?<![\w.])(?:(?:Flat|Apt|Apartment|Unit|Suite|Room|No\.?|Number)\s?\d+[A-Za-z]?,?\s+)?\d{{1,5}}[A-Za-z]?,?\s(?:[A-Z][\w'’\-]+\s){{1,3}}{_STREET_EN}"
     rf"(?:,\s(?:Apt|Flat|Room|Unit|Suite|Apartment)\.?\s?\d+[A-Za-z]?)?(?:,\s[A-Z][\w\-]+(?:\s(?=[A-Z])[A-Z][\w\-]+)?(?:\s\d{{5}}(?!\d))?)?"
@@ -103,30 +131,51 @@ def _valid_cn(s: str) -> bool:
     return _CHECKS[sum(int(a) * w for a, w in zip(s[:17], _WEIGHTS, strict=True)) % 11] == s[17]
 
 
+_WORD = rf"[{_LATIN}](?:[{_LATIN}]|['’\-](?=[{_LATIN}]))+"
+_INITIAL = r"[A-Za-z]\."
+_END = rf"(?:(?<=\.)|(?![{_LATIN}0-9_@\-]))"
+_START = rf"(?<![{_LATIN}0-9_@.\-+])"
+#: first and last part, of "Given Family", "Given I. Family", "I. Family"; "Family, Given"; "Given I."
+_FORWARD = re.compile(rf"(?P<first>{_WORD}|{_INITIAL})(?P<mid>(?:\s{_INITIAL})?)\s(?P<last>{_WORD}){_END}")
+_COMMA = re.compile(rf"(?P<last>{_WORD}),\s(?P<first>{_WORD}|{_INITIAL}){_END}")
+_SHORT = re.compile(rf"(?P<first>{_WORD})\s(?P<last>[A-Z]\.)(?!\s?[a-z]?\w*@)")
+_LAST_WORDS = re.compile(rf"{_START}(?:{_WORD}(?:,\s(?:{_WORD}|{_INITIAL})|(?:\s{_INITIAL})?\s{_WORD}|\s[A-Z]\.)|{_INITIAL}(?:\s{_INITIAL})?\s{_WORD})$")
+_TITLE = re.compile(r"(?:Mr|Ms|Mrs|Miss|Dr|Prof|Professor|Sir|Madam)\.?\s", re.IGNORECASE)
+_ZH = re.compile(f"[{_HAN}]")
+
+
+def _lower(text: str) -> str:
+    low = text.lower()  # a few characters change their length
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def settle(found: set[tuple[int, int, int, str]]) -> list[tuple[str, int, int]]:
+    """(kind, start, end) without overlaps: of (rank, start, end, kind) lower ranks first, then what starts
+    first, then what is longer.  One sweep over what is kept so far for each rank."""
+    kept: list[tuple[int, int, str]] = []
+    for rank in sorted({x[0] for x in found}):
+        at, last, new = 0, 0, []
+        for a, neg, kind in sorted((a, -b, kind) for r, a, b, kind in found if r == rank):
+            while at < len(kept) and kept[at][1] <= a:
+                at += 1
+            if a >= last and not (at < len(kept) and kept[at][0] < -neg):
+                new.append((a, -neg, kind))
+                last = -neg
+        kept = list(heapq.merge(kept, new))
+    return [(kind, a, b) for a, b, kind in kept]
+
+
 class Finder:
     """Finds the mentions of one text.  parts: (part, kind given or family, language)."""
 
     def __init__(self, parts: list[tuple[str, str, str]]):
         self.parts = parts
-        clean = [(p.strip(), k) for p, k, _ in parts if p and p.strip() and k]
-        han = [(p, k) for p, k in clean if re.fullmatch(f"[{_HAN}]+", p)]
-        latin = [(p, k) for p, k in clean if (p, k) not in set(han)]
-        alt = lambda ps: "|".join(sorted(map(re.escape, ps), key=len, reverse=True)) or r"(?!)"
-        given, family = alt([p for p, k in latin if k == "given"]), alt([p for p, k in latin if k == "family"])
-        word = rf"[{_LATIN}](?:[{_LATIN}]|['’\-](?=[{_LATIN}]))+"
-        initial = r"[A-Za-z]\."
-        left, right = rf"(?<![{_LATIN}0-9_@.\-+])", rf"(?![{_LATIN}0-9_@\-])"
-        cap = rf"(?!(?:Mr|Ms|Mrs|Miss|Dr|Prof|Sir|Madam)\b)(?-i:[A-ZÀ-Þ](?:[{_LATIN}]|['’\-](?=[{_LATIN}]))+)"
-        self.name = re.compile(
-            rf"{left}(?:(?:(?:{given})(?:\s{initial})?|{cap}\s(?-i:[A-Z])\.|{initial}(?:\s{initial})?)\s(?:{family})|(?:{family}),\s(?:(?:{given})|{initial})|(?:{given})\s(?-i:[A-Z])\.)(?:(?<=\.)|{right})", re.IGNORECASE)
-        # with a cue, the parts may be any words
-        self.cued = re.compile(rf"(?:{word},\s(?:{word}|{initial})|(?:{word}|{initial})(?:\s{initial})?\s{word}|{word}\s[A-Z]\.)(?:(?<=\.)|{right})")
-        self.word_before = re.compile(rf"{left}(?:{word},\s(?:{word}|{initial})|(?:{word}|{initial})(?:\s{initial})?\s{word}|{word}\s[A-Z]\.)$")
-        self.given_set = {p.casefold() for p, k in latin if k == "given"}
-        self.family_set = {p.casefold() for p, k in latin if k == "family"}
-        zf, zg = alt([p for p, k in han if k == "family"]), alt([p for p, k in han if k == "given"])
-        self.zh = re.compile(rf"(?:{zf})(?:{zg})")
-        self.zh_cued = re.compile(rf"[{_HAN}]{{2,4}}")
+        clean = {(p.strip(), k) for p, k, _ in parts if p and p.strip() and k}
+        han = {(p, k) for p, k in clean if re.fullmatch(f"[{_HAN}]+", p)}
+        self.given = {p.casefold() for p, k in clean - han if k == "given"}
+        self.family = {p.casefold() for p, k in clean - han if k == "family"}
+        self.zh_family = {p for p, k in han if k == "family"}
+        self.zh_given = {p for p, k in han if k == "given"}
         auto = ahocorasick.Automaton()
 
         def add(words, tag):
@@ -140,10 +189,15 @@ class Finder:
         add(CENTURIES, "century")
         add(ID_CUES, "id_cue")
         add(STREETS, "street")
-        add(NAME_BEFORE, "name_before")
-        add(NAME_BEHIND, "name_behind")
-        add({p.casefold() for p, k in latin if k == "family"} | {p.casefold() for p, k in latin if k == "given"}, "name")
-        add({p for p, k in han if k == "family"}, "zh_name")
+        add([f"{t}{dot} " for t in TITLES for dot in ("", ".")], "title")
+        add((":", "："), "label")
+        add(CLOSINGS, "closing")
+        add([f"{w} " for w in BEFORE], "before")
+        add([f" {w}" for w in BEHIND], "behind")
+        add(ZH_BEHIND, "zh_title")
+        add(ZH_VERBS, "zh_verb")
+        add(self.family | self.given, "name")
+        add(self.zh_family, "zh_name")
         auto.make_automaton()
         self.auto = auto
 
@@ -154,22 +208,12 @@ class Finder:
         """(kind, start, end), ordered by start, not overlapping."""
         if not text:
             return []
-        low = text.lower()
-        if len(low) != len(text):  # a few characters change their length
-            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        low = _lower(text)
         found: set[tuple[int, int, int, str]] = set()
         for end, tags in self.auto.iter(low):
             for tag, n in tags:
                 getattr(self, "_" + tag)(text, low, end + 1 - n, end + 1, found)
-        # stricter kinds first, longer first
-        kept: list[tuple[str, int, int]] = []
-        taken: list[tuple[int, int]] = []
-        for _, a, neg, kind in sorted((r, a, -b, k) for r, a, b, k in found):
-            b = -neg
-            if all(b <= x or a >= y for x, y in taken):
-                taken.append((a, b))
-                kept.append((kind, a, b))
-        return sorted(kept, key=lambda m: m[1])
+        return settle(found)
 
     # each parser gets the anchor's place and adds (rank, start, end, kind)
     def _email(self, text, low, a, b, found):
@@ -189,13 +233,17 @@ class Finder:
         return any(c in before for c in NO_PERSON_CUES)
 
     def _id_cue(self, text, low, a, b, found):
-        """The first identity number within a few words behind the cue."""
-        hi = min(len(text), b + 48)
+        """The first identity number within a few words behind the cue, or else the last one before it;
+        before it first where the cue says what something serves as."""
         best = None
-        for p in (_CN_ID, _SSN, _NINO, _PASSPORT):
-            m = p.search(text, b, hi)
-            if m and (p is not _CN_ID or _valid_cn(m[0])) and (best is None or m.start() < best.start()):
-                best = m
+        sides = [(b, min(len(text), b + 48), True), (max(0, a - 40), a, False)]
+        for lo, hi, behind in sides[::-1] if re.search(r"\b(?:as|for)\s[\w\s]*$", low[max(0, a - 14) : a]) else sides:
+            for p in (_CN_ID, _SSN, _NINO, _PASSPORT):
+                for m in p.finditer(text, lo, hi):
+                    if (p is not _CN_ID or _valid_cn(m[0])) and (best is None or (m.start() < best.start()) == behind):
+                        best = m
+            if best:
+                break
         if best and not self._business(low, best.start()):
             found.add((1, best.start(), best.end(), "id_number"))
 
@@ -220,7 +268,7 @@ class Finder:
 
     def _phone_cue(self, text, low, a, b, found):
         m = _PHONE_LOOSE.match(text, next((k for k in range(b, min(b + 6, len(text))) if text[k] in "+(（0123456789"), b))
-        if m and 9 <= sum(c.isdigit() for c in m[0]) <= 14 and not re.match(r"\d{4}[\-/.]\d{1,2}[\-/.]\d{1,2}|\d+\.\d+(?!\.)", m[0]) and not any(x[1] <= m.start() < x[2] for x in found):
+        if m and 9 <= sum(c.isdigit() for c in m[0]) <= 14 and not re.match(r"\d{4}[\-/.]\d{1,2}[\-/.]\d{1,2}|\d+\.\d+(?!\.)", m[0]):
             found.add((5, m.start(), m.end(), "phone"))
 
     def _street(self, text, low, a, b, found):
@@ -251,69 +299,192 @@ class Finder:
             if m.start() <= a < m.end():
                 found.add((3, m.start(), m.end(), "address"))
 
+    # ---- names
+    def _known(self, m: re.Match) -> int:
+        """How many of the two parts are known."""
+        return (m["first"].casefold() in self.given) + (m["last"].casefold() in self.family)
+
+    @staticmethod
+    def _like_a_name(m: re.Match) -> bool:
+        if m["first"][0].isupper() != m["last"][0].isupper():
+            return False
+        return not ({m["first"].casefold(), m["last"].casefold()} & _ORDINARY or _TITLE.match(m["first"] + " "))
+
+    @staticmethod
+    def _a_thing(text: str, a: int, b: int) -> bool:
+        """An article before or a noun of things behind."""
+        before = re.search(r"([A-Za-z]+)\s+$", text[max(0, a - 12) : a])
+        behind = re.match(r"\s+([A-Za-z]+)", text[b : b + 16])
+        return bool(before and before[1].lower() in ARTICLES or behind and behind[1].lower() in THINGS)
+
+    def _shapes(self, text: str, a: int):
+        """What can be a name from place ``a`` on, likelier shapes first."""
+        hi = min(len(text), a + 60)
+        m = _COMMA.match(text, a, hi)
+        if m and (m["last"].casefold() in self.family or m["first"].casefold() in self.given or m["last"].isupper() and len(m["last"]) > 2):
+            yield m
+        for p in (_FORWARD, _SHORT):
+            if m := p.match(text, a, hi):
+                yield m
+
     def _name(self, text, low, a, b, found):
+        """A known part: with a second one, or with an initial, it is a name."""
         if (a and (low[a - 1].isascii() and low[a - 1].isalnum() or low[a - 1] in "@_")) or (b < len(low) and (low[b].isascii() and low[b].isalnum() or low[b] in "@_")):
             return
-        lo, hi = max(0, a - 40), min(len(text), b + 40)
-        for m in self.name.finditer(text, lo, hi):
-            if m.start() <= a and b <= m.end() + 1:
+        starts = [a] + [m.start() for m in re.finditer(rf"{_START}(?:{_WORD}|{_INITIAL})(?=,?\s)", text[max(0, a - 40) : a])]
+        for s in [a] + [max(0, a - 40) + k for k in starts[1:]]:
+            for m in self._shapes(text, s):
+                if not (m.start() <= a and b <= m.end()):
+                    continue
+                first, last = m["first"].casefold() in self.given, m["last"].casefold() in self.family
+                initial = m["first"].endswith(".") and len(m["first"]) == 2
+                if m.re is _SHORT:
+                    sure = first
+                else:
+                    sure = last and (first or initial) or m.re is _FORWARD and bool(m["mid"]) and (first or last) and m["first"][0].isupper() and m["last"][0].isupper() and self._like_a_name(m)
+                if sure and not (m.re is _COMMA and not (first or initial)):
+                    found.add((4, m.start(), m.end(), "name"))
+                    return
+
+    def _here(self, text, a, found, strong, shouted=False):
+        """A name from place ``a`` on, beside a cue."""
+        if t := _TITLE.match(text, a, a + 11):
+            a, strong = t.end(), True
+        for m in self._shapes(text, a):
+            if self._believed(text, m, strong, shouted):
                 found.add((4, m.start(), m.end(), "name"))
                 return
 
-    def _name_before(self, text, low, a, b, found):
-        if a and low[a].isascii() and low[a].isalpha() and low[a - 1].isascii() and low[a - 1].isalnum():
+    def _believed(self, text, m, strong, shouted):
+        """Strong cues are enough for any two words that are no ordinary ones; others ask for capitals
+        (for a known part where the cue itself is in capitals, or there are none) and no sign of a thing."""
+        if not self._like_a_name(m):
+            return False
+        known = self._known(m)
+        capital = m["first"][0].isupper() and m["last"][0].isupper()
+        if self._a_thing(text, m.start(), m.end()) and known < 2:
+            return False
+        if m.re is _SHORT:
+            return capital and (strong or known > 0)
+        return strong or (known > 0 if shouted or not capital else True)
+
+    def _title(self, text, low, a, b, found):
+        if not (a and low[a - 1].isascii() and low[a - 1].isalnum()):
+            self._here(text, b, found, True)
+
+    def _label(self, text, low, a, b, found):
+        """A field's label: a word of persons makes its value a name; another label asks for more."""
+        word = re.search(r"([A-Za-z]+)[\"'\s]*$", text[max(0, a - 20) : a])
+        at = b
+        while at < len(text) and at < b + 4 and text[at] in " \t\"'":
+            at += 1
+        if word:
+            if word[1].lower() in LABELS:
+                self._here(text, at, found, True)
+        elif a and _ZH.match(text[a - 1]) and text[max(0, a - 4) : a].endswith(ZH_LABELS):
+            self._here(text, at, found, True)
+            self._zh_here(text, at, found)
+
+    def _closing(self, text, low, a, b, found):
+        m = re.compile(r",?[ \t]*\r?\n\s*|,\s*").match(text, b, b + 12)
+        if m and not (a and low[a - 1].isalnum()):
+            self._here(text, m.end(), found, True)
+
+    def _before(self, text, low, a, b, found):
+        if not (a and low[a - 1].isascii() and low[a - 1].isalnum()):
+            self._here(text, b, found, False, text[a:b].strip().isupper() and len(text[a:b].strip()) > 1)
+
+    def _behind(self, text, low, a, b, found):
+        if b < len(low) and low[b].isascii() and low[b].isalnum():
             return
-        while b < len(text) and text[b] in " \r\n\"'":
-            b += 1
-        t = re.match(r"(?:Mr|Ms|Mrs|Miss|Dr|Prof)\.?\s", text[b : b + 8], re.IGNORECASE)
-        b += t.end() if t else 0
-        m = self.cued.match(text, b, min(len(text), b + 60))
-        if m and self._plausible(m[0], low[a:b]):
-            found.add((4, m.start(), m.end(), "name"))
-        elif b < len(text) and text[b] > "⺀" and low[a] > "⺀":
-            self._han_name(text, b, found)
-
-    def _han_name(self, text, b, found):
-        m = self.zh_cued.match(text, b, min(len(text), b + 8))
-        if m:
-            for size in (2, 3, 4):
-                rest = text[b + size : b + size + 6]
-                if size <= len(m[0]) and (not rest or not re.match(f"[{_HAN}]", rest) or rest.startswith(("女士", "先生", "小姐", "今天", "聊过", "提供", "复核"))):
-                    if not re.match("[拨把假收对大]", text[b]):
-                        found.add((6, b, b + size, "name"))
-                    return
+        self._there(text, a, found, text[a:b].strip().isupper())
+
+    def _there(self, text, b, found, shouted=False, strong=False):
+        """A name up to place ``b``, before a cue."""
+        lo = max(0, b - 60)
+        if m := _LAST_WORDS.search(text[lo:b]):
+            a = lo + m.start()
+            words = list(re.finditer(rf"{_START}(?:{_WORD}|{_INITIAL})", text[a:b]))
+            for w in words:  # a word too many may stand before the name
+                for x in self._shapes(text, a + w.start()):
+                    if x.end() == b and not (x.re is _FORWARD and x["mid"] == "" and x["first"].endswith(".") and w is not words[0]):
+                        opens = strong or self._opens(text, x.start())
+                        if self._believed(text, x, strong, shouted) and (opens or self._known(x)):
+                            found.add((4, x.start(), x.end(), "name"))
+                            return
+
+    @staticmethod
+    def _opens(text, a):
+        """A sentence, a line or a clause begins here, or a title stands before."""
+        lead = text[max(0, a - 12) : a].rstrip(" ")
+        return not lead or lead[-1] in ".!?;:,)(\n\r\t\"'“>|–—" or _ZH.match(lead[-1]) is not None or lead.lower().rstrip(".").endswith(TITLES) or lead.lower().endswith(("and", "but", "that", "when", "because", "then"))
+
+    # Han names
+    def _zh_here(self, text, b, found):
+        """Two to four characters from ``b`` to where the run of Han characters ends or a person's word begins."""
+        run = re.compile(f"[{_HAN}]{{2,10}}").match(text, b)
+        if not run:
+            return
+        for size in (2, 3, 4):
+            rest = text[b + size : b + size + 4]
+            if size <= len(run[0]) and (size == len(run[0]) or rest.startswith(ZH_BEHIND + ZH_WHEN + ZH_VERBS)):
+                if size < 4 or text[b : b + 2] in self.zh_family:
+                    found.add((6, b, b + size, "name"))
+                return
 
-    def _name_behind(self, text, low, a, b, found):
-        if low[a] > "⺀":
-            for size in (2, 3, 4):
-                s = a - size
-                if s >= 0 and re.fullmatch(f"[{_HAN}]+", text[s:a]) and (s == 0 or not re.match(f"[{_HAN}]", text[s - 1]) or text[s - 1] in "请和谢由") and (s == 0 or text[s] not in "请和谢由"):
-                    found.add((6, s, a, "name"))
+    def _zh_there(self, text, e, found, sure):
+        """Two to four characters up to ``e`` behind a break or a word that leads to a person.  Unless ``sure``,
+        the first must be a known family name."""
+        for size in (2, 3, 4):
+            a = e - size
+            if a < 0 or not _ZH.match(text[a]):
+                return
+            lead = text[max(0, a - 2) : a]
+            if (not lead or not _ZH.match(lead[-1]) or lead.endswith(ZH_LEADS)) and not text[a:e].startswith(ZH_LEADS):
+                if (sure and size < 4) or text[a] in self.zh_family or text[a : a + 2] in self.zh_family:
+                    found.add((6, a, e, "name"))
                     return
-        m = self.word_before.search(text, max(0, a - 40), a)
-        if not m:
-            return
-        # unlisted names in small letters are believed only where a sentence begins or a title stands before them
-        lead = text[max(0, m.start() - 6) : m.start()].rstrip(" ")
-        opens = m.start() == 0 or lead[-1:] in ".!?;:,)\n\r\"0123456789" or lead.lower().rstrip(".").endswith(TITLES)
-        if self._plausible(m[0], low[a:b] if opens else ""):
-            s = m.start()
-            t = re.match(r"(?:Mr|Ms|Mrs|Miss|Dr|Prof)\.?\s", m[0], re.IGNORECASE)
-            if not t:
-                found.add((4, s, a, "name"))
-
-    def _plausible(self, name, cue):
-        """Two capitalised words or an initial, or all small letters with a part that is listed; no ordinary opening."""
-        words = re.findall(rf"[{_LATIN}](?:[{_LATIN}]|['’\-])*\.?", name)
-        if len(words) < 2 or words[0].casefold() in _ORDINARY or words[-1].casefold() in _ORDINARY:
-            return False
-        listed = any(w.casefold() in self.given_set or w.casefold() in self.family_set for w in words)
-        return all(w[0].isupper() for w in words) or listed or cue.rstrip().endswith((":", "：", '"')) or cue[:1] > "⺀" or cue.strip() in _STRONG
+
+    def _zh_title(self, text, low, a, b, found):
+        self._zh_there(text, a, found, True)
+        self._there(text, a, found, strong=True)
+
+    def _zh_verb(self, text, low, a, b, found):
+        for when in ZH_WHEN:
+            if text.endswith(when, max(0, a - 4), a) if a else False:
+                a -= len(when)
+                break
+        self._zh_there(text, a, found, False)
+        self._there(text, a, found)
 
     def _zh_name(self, text, low, a, b, found):
-        m = self.zh.match(text, a, min(len(text), a + 6))
-        if m:
-            found.add((4, m.start(), m.end(), "name"))
+        for size in (2, 1, 3):
+            if text[b : b + size] in self.zh_given and b + size <= len(text):
+                found.add((4, a, b + size, "name"))
+                return
+
+    def sure_parts(self, text: str | None) -> list[tuple[str, str]]:
+        """(part, kind) of the names that stand where only a person can: behind a title, a label of
+        persons or the closing of a letter, or before a title."""
+        if not text:
+            return []
+        low = _lower(text)
+        out = []
+        for end, tags in self.auto.iter(low):
+            for tag, n in tags:
+                if tag in ("title", "label", "closing", "zh_title"):
+                    found: set[tuple[int, int, int, str]] = set()
+                    getattr(self, "_" + tag)(text, low, end + 1 - n, end + 1, found)
+                    for _, a, b, _ in found:
+                        name = text[a:b]
+                        if _ZH.match(name):
+                            if len(name) < 4:
+                                out += [(name[0], "family"), (name[1:], "given")]
+                            continue
+                        for m in list(self._shapes(name, 0))[:1]:
+                            if name[0].isupper():
+                                out += [(m[k].casefold(), kind) for k, kind in (("first", "given"), ("last", "family")) if not m[k].endswith(".")]
+        return out
 
     def replace(self, text: str | None) -> str | None:
         """The text with every mention as a placeholder of its type."""
@@ -326,23 +497,44 @@ class Finder:
         return "".join(out) + text[last:]
 
 
-#: Cues behind which only a person is named.
-_STRONG = frozenset("minutes taken by|forwarded by|on leave:|thanks to|spoke to|please ask|was moved by|account holder:|trader:|wrote the|disagreed with|signed the".split("|"))
-_ORDINARY = frozenset("the a an and or of for to in on at by with from this that my our his her their it we you he she they lot bar bars before after about again desk fund order nobody everyone someone regards as is was two loads funds readers both one".split())
+_ORDINARY = frozenset(
+    "the a an and or of for to in on at by with from this that my our his her their it we you he she they lot bar bars before after about again desk fund funds order nobody everyone someone regards as is was are were be been has have had will would can could may might must shall should not no yes "
+    "two one three all any some each every both loads readers here there where when why what who which how if then so but while during between because until since only also just now today tomorrow yesterday please thanks dear hi hello "
+    "monday tuesday wednesday thursday friday saturday sunday january february march april june july august september october november december "
+    "mr ms mrs miss dr prof professor sir madam me him us them i your its total price cash slippage account portfolio strategy market team bank desk".split())
 _BEFORE_ROAD_IN = re.compile("^.*(?:住在|寄到|位于|地址|住址|在|到|于)")
 
 
+def learn_parts(documents: DataFrame, listed: list[tuple[str, str, str]], least: int = LEAST_SEEN, share: float = LEAST_PART) -> list[tuple[str, str, str]]:
+    """Further name parts: what stands where only a person can in at least ``least`` documents and in
+    ``share`` of all such places, over the whole corpus; so there are at most 2 / ``share`` of them."""
+    shared = documents.sparkSession.sparkContext.broadcast(Finder(listed))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        f = shared.value
+        for b in batches:
+            yield pd.DataFrame([x for text in b["text"] for x in set(f.sure_parts(text))], columns=["part", "kind"])
+
+    seen = documents.select("text").where("text is not null").mapInPandas(scan, "part string, kind string")
+    counts = seen.groupBy("part", "kind").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy("kind"))
+    kept = counts.withColumn("all", total).where((F.col("n") >= least) & (F.col("n") >= share * F.col("all")))
+    return [(r["part"], r["kind"], "") for r in kept.orderBy("part", "kind").select("part", "kind").collect()]
+
+
 def _finder(documents: DataFrame, name_parts: DataFrame | None, most: int):
     rows = []
     if name_parts is not None:
         rows = [(r["name_part"], r["part_kind"], r["lang"]) for r in name_parts.select("name_part", "part_kind", "lang").limit(most + 1).collect()]
         if len(rows) > most:
             raise ValueError("the list of name parts exceeds the size that may be sent to the executors")
-    return documents.sparkSession.sparkContext.broadcast(Finder(sorted(rows, key=str)))
+    rows = sorted(rows, key=str)
+    return documents.sparkSession.sparkContext.broadcast(Finder(rows + learn_parts(documents, rows)))
 
 
 def find_mentions(documents: DataFrame, name_parts: DataFrame | None, most: int = MOST_NAME_PARTS) -> DataFrame:
     """doc_id, kind, start_at, end_at: a row per mention; places are 0-based code points."""
+    documents = spread(documents.select("doc_id", "text"))
     finder = _finder(documents, name_parts, most)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -350,11 +542,12 @@ def find_mentions(documents: DataFrame, name_parts: DataFrame | None, most: int
         for b in batches:
             yield pd.DataFrame([(doc, *m) for doc, text in zip(b["doc_id"], b["text"], strict=True) for m in f.mentions(text)], columns=["doc_id", "kind", "start_at", "end_at"])
 
-    return documents.select("doc_id", "text").where("text is not null").mapInPandas(scan, "doc_id long, kind string, start_at long, end_at long")
+    return documents.where("text is not null").mapInPandas(scan, "doc_id long, kind string, start_at long, end_at long")
 
 
 def replace_mentions(documents: DataFrame, name_parts: DataFrame | None, most: int = MOST_NAME_PARTS) -> DataFrame:
     """doc_id, text: every document with its mentions replaced."""
+    documents = spread(documents.select("doc_id", "text"))
     finder = _finder(documents, name_parts, most)
 
     @F.pandas_udf("string")

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.session import spread
+
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces kept by each worker; each is at most this many characters long.
@@ -121,6 +123,25 @@ def token_ids(spark: SparkSession, text: Column | str, ranks_path: str, pattern:
     return encode(F.coalesce(text, F.lit("")) if isinstance(text, Column) else F.coalesce(F.col(text), F.lit("")))
 
 
+def token_text(spark: SparkSession, ids: Column | str, ranks_path: str) -> Column:
+    """The text of a column of ids: the strings of the vocabulary, put together.  No ids are the empty text;
+    bytes that are no text come out as the replacement character."""
+    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+
+    @F.pandas_udf("string")
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe = ByteBpe(shared.value)
+        for lists in batches:
+            yield pd.Series([bpe.decode(ids) for ids in lists], dtype=object)
+
+    return decode(F.coalesce(F.col(ids) if isinstance(ids, str) else ids, F.array().cast("array<int>")))
+
+
 def encode_documents(documents: DataFrame, ranks_path: str, pattern: str = PATTERN) -> DataFrame:
     """doc_id, ids: a row per document."""
-    return documents.select("doc_id", token_ids(documents.sparkSession, "text", ranks_path, pattern).alias("ids"))
+    return spread(documents.select("doc_id", "text")).select("doc_id", token_ids(documents.sparkSession, "text", ranks_path, pattern).alias("ids"))
+
+
+def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """doc_id, text of encoded documents."""
+    return encoded.select("doc_id", token_text(encoded.sparkSession, "ids", ranks_path).alias("text"))

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from barloom.llm import persons
@@ -32,7 +35,11 @@ CASES = [
     ("Ms Kerrin Hexwater signed the sheet", [("name", "Kerrin Hexwater")]),
     ("Dr. K. O'Marrin disagreed with the grid", [("name", "K. O'Marrin")]),
     ("on leave: HEXWATER, Kerrin (back)", [("name", "HEXWATER, Kerrin")]),
-    ("thanks to corwin netherby for the bars", [("name", "corwin netherby")]),
+    ("thanks to corwin hexwater for the bars", [("name", "corwin hexwater")]),
+    ("I live at 12 Elm Way, Boston", [("address", "12 Elm Way, Boston")]),
+    ("the sample is too small W. Hexwater女士已签字", [("name", "W. Hexwater")]),
+    ("Kestrel Ridge desk said no; the Salt Grove account called", []),
+    ("柴砺今天请假；对方不同意加仓，成交量请假", [("name", "柴砺")]),
     ("昨天和Corwin Netherby聊过，请柴予安先生复核", [("name", "Corwin Netherby"), ("name", "柴予安")]),
     ("联系人：苗砺。", [("name", "苗砺")]),
     ("the Amber Lock book, the Wren Field strategy", []),
@@ -69,3 +76,53 @@ def test_frames(spark):
     assert persons.find_mentions(d.limit(0), p).collect() == [] and persons.find_mentions(d, None).count() == 2
     with pytest.raises(ValueError):
         persons.find_mentions(d, p, most=2)
+
+
+#: Frames and names written after the parser and not used to make it; no part of these names is listed.
+UNSEEN = [
+    "I met {} yesterday", "Reviewed by {} on Monday", "Approved by: {}", "{} called me at noon", "The audit was led by {} last year", "Please forward this to {} before lunch", "According to {}, the gap will close",
+    "My colleague {} will join the call", "We hired {} as an analyst", "{} said the fill was late", "Signed: {}", "Reporter: {}", "Hi {}, can you check the fill?", "Dear {},\nthe statement is attached.", "Kind regards,\n{}",
+    "Best,\n{}\nTrading", "I had lunch with {} and we agreed", "{} and I rebalanced the list", "cc: {}", "Mrs {} lives nearby", "Prof. {} published the note", "On behalf of {} we closed it", "{} retired in March.",
+    "The idea came from {} originally", "Interview with {}, head of risk", "{}'s phone is off", "Assignee: {} (due Friday)", "This was written by {} in a hurry", "{} thinks the rule is weak", "We told {} about the gap",
+    "Ask {} for the file", "Prepared by {}", "{} resigned on Friday", "the desk manager, {}, disagreed", "Yours sincerely,\n{}", "Employee: {}", "I spoke with {} on Tuesday", "Thank {} for the help", "{} wrote back at once", "Meeting with {} at 3pm",
+]
+NAMES = ["Olga Petrova", "Priya Raghunathan", "Tomasz K. Wieczorek", "Léa Fontaine", "Amir El-Sayed"]
+
+
+def test_most_names_in_unseen_sentences_are_found():
+    bare = persons.Finder([])
+    hits = sum(("name", t.index(n), t.index(n) + len(n)) in bare.mentions(t) for f in UNSEEN for n in NAMES for t in [f.format(n)])
+    assert hits >= 0.85 * len(UNSEEN) * len(NAMES)
+
+
+def test_settlement_equals_brute_force():
+    rng = random.Random(2)
+    for _ in range(300):
+        found = {(rng.randrange(4), a, a + rng.randrange(1, 9), rng.choice("xy")) for a in (rng.randrange(30) for _ in range(rng.randrange(12)))}
+        taken = []
+        for _, a, neg, kind in sorted((r, a, -b, k) for r, a, b, k in found):
+            if all(-neg <= x or a >= y for _, x, y in taken):
+                taken.append((kind, a, -neg))
+        assert persons.settle(found) == sorted(taken, key=lambda m: m[1])
+
+
+def test_time_grows_with_the_mentions_and_no_faster():
+    text = "Mr Olga Petrova wrote x@post.example. " * 16_000
+    began = time.perf_counter()
+    assert len(text) == 608_000 and len(F.mentions(text)) == 32_000
+    assert time.perf_counter() - began < 10  # a quadratic settlement took 49 s
+
+
+def test_parts_are_learnt_where_only_persons_stand(spark):
+    texts = ["Ms Corwin Netherby was here", "Regards,\nCorwin Netherby", "Account holder: Corwin Netherby", "the Iron Reed desk", "corwin netherby again", "联系人：苗砺。", "苗砺女士到了", "请苗砺先生", "然后苗砺走了", "Dr. Ravi Solo"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(persons.learn_parts(d, [])) == [("corwin", "given", ""), ("netherby", "family", ""), ("砺", "given", ""), ("苗", "family", "")]
+    got = sorted((r["doc_id"], texts[r["doc_id"]][r["start_at"] : r["end_at"]]) for r in persons.find_mentions(d, None).collect())
+    assert got == [(0, "Corwin Netherby"), (1, "Corwin Netherby"), (2, "Corwin Netherby"), (4, "corwin netherby"), (5, "苗砺"), (6, "苗砺"), (7, "苗砺"), (8, "苗砺"), (9, "Ravi Solo")]
+    assert persons.learn_parts(d.limit(0), []) == [] and persons.learn_parts(d.withColumn("text", F_null()), []) == []
+
+
+def F_null():
+    from pyspark.sql import functions as F
+
+    return F.lit(None).cast("string")

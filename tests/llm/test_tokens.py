@@ -5,9 +5,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from barloom.llm import tokens
+from barloom.llm import queries, tokens
 
-PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PATH = f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken"
 pytestmark = pytest.mark.skipif(not os.path.exists(PATH), reason="no vocabulary files here")
 BPE = tokens.ByteBpe(tokens.read_ranks(PATH)) if os.path.exists(PATH) else None
 
@@ -40,6 +40,10 @@ def test_documents_null_empty_repeated_clashing(spark):
     want = BPE.encode("the bars")
     assert got == [(1, []), (2, []), (3, want), (3, want)]
     assert tokens.encode_documents(df.limit(0), PATH).collect() == []
+    back = sorted(map(tuple, tokens.decode_documents(tokens.encode_documents(df, PATH), PATH).collect()))
+    assert back == [(1, ""), (2, ""), (3, "the bars"), (3, "the bars")]
+    nothing = spark.createDataFrame([(1, None), (2, [255])], "doc_id long, ids array<int>")
+    assert [r["text"] for r in tokens.decode_documents(nothing, PATH).orderBy("doc_id").collect()] == ["", BPE.decode([255])]
 
 
 def test_every_document_round_trips(spark, sf):
