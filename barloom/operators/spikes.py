@@ -5,9 +5,14 @@ of a reading: level (distance from the source's own level around that day),
 difference (distance from the levels just before and just after, on the nearer
 side), seasonal (distance relative to the usual move of that weekday) and run
 length (days on which the same value repeats).  Every reading is scored.
-Readings that stand out are then put to explicit rules: physical limits (zero
-or negative), excursions (far off both sides and back), unit errors (a power
-of ten off the level) and stuck runs.
+
+The score decides.  Each source's forest is calibrated on errors planted among
+its own ordinary days: some, of all sizes, are in the forest's sample, others,
+of the least size that matters, are held out and give the score from which a
+reading is flagged.  What the forest flags must then pass an exact check that
+is looser than the planted errors (it leaves both sides and returns by at least
+half as much, or is a run of six days of a source that seldom repeats its
+price).  Beside that stand the explicit physical limits: zero and negative.
 
 Scale: readings are first reduced to at most one row per source and day with
 map-side partial aggregates (count, least and largest value of each field), so
@@ -18,8 +23,9 @@ source holding a third of all rows is spread over as many tasks as it needs.
 
 Defined results: null, NaN and stand-in prices are never scored or flagged;
 rows whose source or day is not known are ignored; ties and repeated rows are
-each scored; an empty table gives an empty result; further columns of the
-input are ignored.
+each scored; a source that never had a positive price has no forest, so its
+readings have a null score and offend the limits only; an empty table gives an
+empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -33,16 +39,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FIELDS = ("open", "close")
-#: Excursions smaller than this many robust day moves are ordinary; those of more than LONG_DAYS days, which
-#: may be moves of the market, must be half as large again.
-EXCURSION, LONG_DAYS = 14.0, 2
-#: A stuck run has at least this many days of readings.
-STUCK_DAYS = 6
+#: The smallest and largest planted excursion, in robust day moves.  The exact check asks for half the smallest,
+#: and half as much again of excursions of more than LONG_DAYS days, which may be moves of the market.
+EXCURSION, MOST_EXCURSION, LONG_DAYS = 14.0, 60.0, 2
+#: A stuck run has at least this many days of readings; planted ones up to MOST_STUCK.
+STUCK_DAYS, MOST_STUCK = 6, 14
 #: Sources that repeat their price on more than this share of days are quiet, not stuck.
 QUIET_SHARE = 0.25
-#: Score from which a reading stands out and is put to the rules.
-SCORE = 0.45
-TREES, SAMPLE, DEPTH = 16, 128, 7
+#: Trees of a forest, rows of each one's sample, levels.
+TREES, SAMPLE, DEPTH = 48, 64, 5
+#: Share of planted errors in the sample; number of held-out ones of each kind.
+PLANTED, HELD_OUT = 0.02, 64
+#: A reading is flagged from the score that all but this share of the held-out errors reach, less this part of the
+#: way down to the median of the source (runs are scored closer together than excursions are).
+MISSED, SLACK = 0.05, {"spike": 0.0, "stuck": 0.15}
 HALF, SIDE = 10, 2
 #: Logarithmic distance within which the prices of a day agree.
 ALIKE = 0.3
@@ -85,21 +95,18 @@ def _row_nanmedian(w: np.ndarray) -> np.ndarray:
     return out
 
 
-def grow_forest(x: np.ndarray, seed: int, trees: int = TREES, sample: int = SAMPLE, depth: int = DEPTH) -> dict:
+def grow_forest(x: np.ndarray, seed: int, planted: np.ndarray | None = None, trees: int = TREES, sample: int = SAMPLE, depth: int = DEPTH) -> dict:
     """An isolation forest on the rows of ``x``, all trees grown together level by level.
 
-    Each tree gets a subsample without regard to order and, so that the range of every
-    feature is known to it, the rows with the largest values."""
+    Each tree gets a subsample, rows of ``planted`` among it in the share they have of both."""
     rng = np.random.default_rng(seed)
+    x = x if planted is None else np.concatenate([x, planted])
     rows, dims = x.shape
     size = min(sample, rows)
-    pick = rng.integers(0, rows, (trees, size))
-    if rows > size:
-        pick[:, :dims] = np.argmax(x, axis=0)[None, :]
-    s = x[pick]  # trees, size, dims
+    s = x[rng.integers(0, rows, (trees, size))]  # trees, size, dims
     nodes = 2 ** (depth + 1) - 1
     feature = np.full((trees, nodes), -1, np.int8)
-    cut = np.zeros((trees, nodes))
+    cut = np.full((trees, nodes), np.inf)
     node = np.zeros((trees, size), np.int64)
     tree = np.arange(trees)[:, None]
     for level in range(depth):
@@ -129,8 +136,13 @@ def grow_forest(x: np.ndarray, seed: int, trees: int = TREES, sample: int = SAMP
     counts = np.zeros((trees, nodes))
     np.add.at(counts, (np.broadcast_to(tree, node.shape), node), 1)
     deep = np.floor(np.log2(np.arange(nodes) + 1))
-    path = np.where(counts > 0, deep + _average_path(counts), np.where(feature < 0, deep, 0.0))
-    return {"feature": feature, "cut": cut.astype(np.float32), "path": path.astype(np.float32), "norm": max(float(_average_path(np.array([float(size)]))[0]), 1e-9), "depth": depth}
+    path = np.where(counts > 0, deep + _average_path(counts), deep)
+    # what a leaf above the last level says is handed down on the left, where an infinite cut leads
+    for n in range(2**depth - 1):
+        leaf = feature[:, n] < 0
+        path[leaf, 2 * n + 1] = path[leaf, n]
+    last = 2**depth - 1
+    return {"feature": np.maximum(feature[:, :last], 0), "cut": cut[:, :last].astype(np.float32), "path": path[:, last:].astype(np.float32), "norm": max(float(_average_path(np.array([float(size)]))[0]), 1e-9), "depth": depth}
 
 
 def _average_path(n: np.ndarray) -> np.ndarray:
@@ -140,18 +152,24 @@ def _average_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
 
-def forest_scores(forest: dict, x: np.ndarray) -> np.ndarray:
+def forest_scores(forest: dict, x: np.ndarray, chunk: int = 1024) -> np.ndarray:
     """2 ** (-mean path / norm): near 1 is lonely, 0.5 and less is ordinary."""
-    trees, nodes = forest["feature"].shape
-    feature, cut = forest["feature"].ravel(), forest["cut"].ravel()
-    x, rows = x.astype(np.float32).ravel(), (np.arange(len(x)) * x.shape[1])[None, :]
-    first = (np.arange(trees) * nodes)[:, None]
-    node = np.zeros((trees, rows.shape[1]), np.int64)
-    for _ in range(forest["depth"]):
-        at = first + node
-        f = feature[at]
-        node = np.where(f >= 0, 2 * node + 1 + (x[rows + np.maximum(f, 0)] >= cut[at]), node)
-    return 2.0 ** (-forest["path"].ravel()[first + node].mean(axis=0) / forest["norm"])
+    trees, last = forest["feature"].shape
+    feature, cut, path = forest["feature"].astype(np.int32).ravel(), forest["cut"].ravel(), forest["path"].ravel()
+    first, leaf = (np.arange(trees, dtype=np.int32) * last)[:, None], (np.arange(trees, dtype=np.int32) * (last + 1) - last)[:, None]
+    total = np.empty(len(x), np.float32)
+    for a in range(0, len(x), chunk):
+        part = x[a : a + chunk].astype(np.float32)
+        flat, rows = part.ravel(), np.arange(len(part), dtype=np.int32) * np.int32(part.shape[1])
+        node = np.zeros((trees, len(part)), np.int32)
+        for _ in range(forest["depth"]):
+            at = first + node
+            right = flat.take(feature.take(at) + rows) >= cut.take(at)
+            node += node
+            node += 1
+            node += right
+        total[a : a + chunk] = path.take(leaf + node).mean(axis=0)
+    return 2.0 ** (-total.astype(float) / forest["norm"])
 
 
 def _features(lv: np.ndarray, d: np.ndarray, m: dict, run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,10 +223,11 @@ def source_model(h: dict[str, np.ndarray]) -> dict:
     weekday = (date + 3) % 7
     season = np.ones(7)
     for k in range(7):
-        if (mine := weekday == k).sum() >= 8:
-            season[k] = np.clip((np.median(move[mine]) or usual) / usual, 0.5, 2.0)
+        mine = weekday == k
+        if n := mine.sum():  # few such days say little
+            season[k] = np.clip((n * (np.median(move[mine]) or usual) + 8 * usual) / (n + 8) / usual, 0.5, 2.0)
     m["season"] = season
-    xs = []
+    xs, plain = [], []
     for k, f in enumerate(FIELDS):
         one = _run_values(h[f"{f}_least"], h[f"{f}_most"])
         n = ~np.isnan(stack[:, 2 * k])  # days without a usable value do not break a run
@@ -222,12 +241,49 @@ def source_model(h: dict[str, np.ndarray]) -> dict:
         m[f + "_quiet"] = float(same.mean()) if len(v) > 1 else 0.0
         away = np.where(np.isnan(clean[:, k]), np.nan_to_num(np.sign(both[:, k] - level)), 0.0)
         stretch = np.cumsum(np.r_[True, away[1:] != away[:-1]])
-        m[f + "_need"] = np.where((away != 0) & (np.bincount(stretch)[stretch] > LONG_DAYS), 1.5 * EXCURSION, EXCURSION).astype(np.float32)
-        at = np.flatnonzero(n)
-        xs += [_features(stack[at, 2 * k + j], at, m, run[at].astype(float))[0] for j in range(2)]
-    x = np.concatenate(xs)
-    m["forest"] = grow_forest(x, seed=int(date[0])) if len(x) >= 8 else None
-    return m
+        m[f + "_need"] = np.where((away != 0) & (np.bincount(stretch)[stretch] > LONG_DAYS), 0.75 * EXCURSION, 0.5 * EXCURSION).astype(np.float32)
+        for w in ("least", "most"):
+            at = np.flatnonzero(n)
+            value = h[f"{f}_{w}"][at]
+            length = np.where(m[f + "_one"][at] == value, run[at], 1.0)
+            x, excursion, _ = _features(np.log(value), at, m, length)
+            xs.append(x)
+            plain.append((excursion < EXCURSION) & ((length < STUCK_DAYS) | (m[f + "_quiet"] > QUIET_SHARE)))
+    return {**m, **_calibrated(np.concatenate(xs), np.concatenate(plain), m)}
+
+
+def _plant(m: dict, n: int, rng: np.random.Generator, most: float, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features of ``n`` spikes (from EXCURSION to ``most``) and of ``n`` stuck readings (from STUCK_DAYS to
+    ``longest`` days) planted on days of the source."""
+    days = np.flatnonzero(np.isfinite(m["level"]))
+    sided = days[np.isfinite(m["left"][days]) & np.isfinite(m["right"][days])]
+    d = rng.choice(sided if len(sided) else days, n)
+    level = m["level"][d]
+    left, right = (np.where(np.isnan(m[k][d]), level, m[k][d]) for k in ("left", "right"))
+    up = rng.random(n) < 0.5
+    size = np.exp(rng.uniform(np.log(EXCURSION), np.log(most), n)) * m["scale"] * np.maximum(m["gap_l"][d], m["gap_r"][d])
+    spikes = _features(np.where(up, np.maximum(left, right) + size, np.minimum(left, right) - size), d, m, np.ones(n))[0]
+    d = rng.choice(days, n)
+    stuck = _features(m["level"][d] + m["scale"] * rng.normal(0, 1, n), d, m, rng.integers(STUCK_DAYS, longest + 1, n).astype(float))[0]
+    return spikes, stuck
+
+
+def _calibrated(x: np.ndarray, plain: np.ndarray, m: dict) -> dict:
+    """The forest of a source and the scores from which it flags spikes and stuck readings.
+
+    Grown on the plain readings, so that a long stretch of wrong ones does not pass for the source's
+    habit, and on planted errors, so that it knows their range."""
+    if not len(x):
+        return {"forest": None, "limits": {}}
+    rng = np.random.default_rng(int(m["day"][0]))
+    planted = np.concatenate(_plant(m, max(1, round(len(x) * PLANTED)), rng, MOST_EXCURSION, MOST_STUCK))
+    forest = grow_forest(x[plain], int(m["day"][0]), planted)
+    usual = float(np.median(forest_scores(forest, x[plain] if plain.any() else x)))
+    limits = {}
+    for kind, errors in zip(SLACK, _plant(m, HELD_OUT, rng, 1.5 * EXCURSION, MOST_STUCK), strict=True):
+        low = float(np.quantile(forest_scores(forest, errors), MISSED))
+        limits[kind] = low - SLACK[kind] * (low - usual)
+    return {"forest": forest, "limits": limits}
 
 
 def _base_level(stack: np.ndarray) -> np.ndarray:
@@ -239,7 +295,7 @@ def _base_level(stack: np.ndarray) -> np.ndarray:
     with np.errstate(invalid="ignore"):
         spread = np.fmax.reduce(stack, axis=1) - np.fmin.reduce(stack, axis=1)
     agree = np.flatnonzero(spread < ALIKE)
-    if len(agree) < 5:
+    if not len(agree):
         agree = np.flatnonzero(~np.isnan(spread))
     if not len(agree):
         return np.full(days, np.nan)
@@ -307,14 +363,15 @@ def judge(day: np.ndarray, prices: dict[str, np.ndarray], m: dict) -> Iterator[t
         in_run = m[f + "_one"][at] == v
         run = np.where(in_run, m[f + "_run"][at], 1.0)
         x, exc, level = _features(lv, at, m, run)
-        score = forest_scores(m["forest"], x) if m["forest"] else np.full(len(v), 1.0)
+        score = forest_scores(m["forest"], x) if m["forest"] else np.full(len(v), np.nan)
+        lonely = {kind: score >= m["limits"].get(kind, np.inf) for kind in SLACK}
         tens = np.abs(lv - level) / np.log(10.0)
+        returns = exc > m[f + "_need"][at]
         unit = (np.round(tens) >= 1) & (np.abs(tens - np.round(tens)) < 0.12) & (exc > EXCURSION / 2)
-        stands_out = score >= SCORE
         rule = np.zeros(len(v), np.int8)
-        rule[stands_out & in_run & m[f + "_later"][at] & (run >= STUCK_DAYS) & (m[f + "_quiet"] <= QUIET_SHARE)] = RULES.index("stuck")
-        rule[stands_out & (exc > m[f + "_need"][at])] = RULES.index("excursion")
-        rule[stands_out & unit] = RULES.index("unit")
+        rule[lonely["stuck"] & in_run & m[f + "_later"][at] & (run >= STUCK_DAYS) & (m[f + "_quiet"] <= QUIET_SHARE)] = RULES.index("stuck")
+        rule[lonely["spike"] & returns] = RULES.index("excursion")
+        rule[lonely["spike"] & unit] = RULES.index("unit")
         rule[~positive] = RULES.index("limit")
         yield f, have, score, rule
 
@@ -356,7 +413,7 @@ def score_readings(readings: DataFrame, block_rows: int = 50_000, only_flagged:
                 have, score, rule = have[keep], score[keep], rule[keep]
                 if len(have):
                     part = keys.take(have).append_column("field", pa.array([f] * len(have))).append_column("value", rows[f].take(have))
-                    out.append(part.append_column("score", pa.array(score, pa.float64())).append_column("rule", RULE_NAMES.take(pa.array(rule))))
+                    out.append(part.append_column("score", pa.array(score, pa.float64(), from_pandas=True)).append_column("rule", RULE_NAMES.take(pa.array(rule))))
         return pa.concat_tables(out) if out else FOUND.empty_table()
 
     models = daily_history(readings).groupBy("code").applyInArrow(model, "code string, part int, model binary")

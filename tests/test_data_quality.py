@@ -169,13 +169,69 @@ def test_quiet_instruments_are_not_stuck_and_small_tables_work(spark):
 
 def test_forest_isolates_what_is_far():
     rng = np.random.default_rng(0)
-    x = np.r_[rng.normal(0, 1, (500, 4)), [[9, 9, 0, 0]]]
-    s = spikes.forest_scores(spikes.grow_forest(x, 1), x)
+    x, far = np.abs(rng.normal(0, 1, (500, 4))), np.array([[9.0, 9.0, 0.0, 0.0]])
+    s = spikes.forest_scores(spikes.grow_forest(x, 1, np.repeat(far, 8, axis=0)), np.r_[x, far])
     assert s[-1] == s.max() and s[-1] > 0.6 and np.median(s) < 0.5
     same = np.ones((20, 4))
     assert np.allclose(spikes.forest_scores(spikes.grow_forest(same, 1), same), spikes.forest_scores(spikes.grow_forest(same, 1), same)[0])
 
 
+def test_scores_equal_a_walk_down_every_tree():
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (90, 4)).astype(np.float32)
+    forest = spikes.grow_forest(x, 5)
+    total = np.zeros(len(x))
+    for t in range(len(forest["feature"])):
+        for k, row in enumerate(x):
+            node = 0
+            for _ in range(forest["depth"]):
+                node = 2 * node + 1 + int(row[forest["feature"][t, node]] >= forest["cut"][t, node])
+            total[k] += forest["path"][t, node - (2 ** forest["depth"] - 1)]
+    assert np.allclose(spikes.forest_scores(forest, x, chunk=7), 2 ** (-total / len(forest["feature"]) / forest["norm"]), atol=1e-5)
+
+
+def history(days=400, seed=0, move=0.01):
+    rng = np.random.default_rng(seed)
+    walk = 5 * np.exp(np.cumsum(rng.normal(0, move, days)))
+    h = {"day": np.arange(18000, 18000 + days)}
+    return h | {f"{f}_{w}": np.round(walk * (1.001 if f == "open" else 1.0), 3) for f in spikes.FIELDS for w in ("least", "most")}
+
+
+def test_the_score_decides():
+    """Among readings that pass the exact check the forest tells errors from moves of the market; without it all are flagged."""
+    flagged = constant = errors = 0
+    for seed in range(12):
+        h = history(seed=seed)
+        for d, size in ((50, 9.0), (120, 10.0), (200, 11.0), (280, 30.0), (340, 45.0)):
+            move = float(np.median(np.abs(np.diff(np.log(h["close_least"])))))
+            for w in ("least", "most"):
+                h[f"close_{w}"] = h[f"close_{w}"].copy()
+                h[f"close_{w}"][d] *= np.exp(size * move)
+        m = spikes.source_model(h)
+        prices = {f: h[f"{f}_least"] for f in spikes.FIELDS}
+        rules = lambda model: dict((f, rule) for f, _, _, rule in spikes.judge(h["day"], prices, model))
+        mine, loose = rules(m), rules(m | {"limits": dict.fromkeys(spikes.SLACK, 0.0)})
+        assert {280, 340} <= set(np.flatnonzero(mine["close"])) and not np.any(mine["open"])
+        flagged += int((mine["close"] > 0).sum())
+        constant += int((loose["close"] > 0).sum())
+        errors += 2
+    assert flagged <= 1.2 * errors and constant >= 1.5 * errors
+
+
+def test_held_out_planted_errors_are_recalled():
+    rng = np.random.default_rng(1)
+    for seed in (1, 2, 3):
+        m = spikes.source_model(history(seed=seed))
+        for kind, x in zip(spikes.SLACK, spikes._plant(m, 500, rng, spikes.MOST_EXCURSION, spikes.MOST_STUCK), strict=True):
+            assert np.mean(spikes.forest_scores(m["forest"], x) >= m["limits"][kind]) > 0.9
+
+
+def test_sources_without_a_positive_price_offend_limits_only(spark):
+    rows = [bar(k + 1, "100000", k, 0.0, -1.0 if k else None) for k in range(4)]
+    out = spikes.score_readings(readings(spark, rows, ["100000"], "open", "close")).collect()
+    assert len(out) == 7 and all(r["score"] is None and r["rule"] == "limit" for r in out)
+
+
 # ---- p3 ----------------------------------------------------------------------
 def brute_grid(rows, closed, limit_days=9):
     """(code, day) -> has a reading, for open days from the first to the last."""
