@@ -15,6 +15,13 @@ def p1_filled(spark: SparkSession, folder: str) -> DataFrame:
     return fill.fill_missing(bars, R.find_stand_ins(bars))
 
 
+def p1_propagated(spark: SparkSession, folder: str) -> DataFrame:
+    """The propagated open and close of every instrument and day that lacks one of them."""
+    bars = table(spark, folder, "hs300etf_day")
+    s = fill.propagate_states(fill.daily_states(fill.prepare(bars, R.find_stand_ins(bars))))
+    return s.select("code", F.date_format("day", "yyyy-MM-dd").alias("day"), F.round("o", 6).alias("open"), F.round("c", 6).alias("close"))
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return p1_filled(spark, folder).where(F.col("status").isin("filled", "unfilled")).select("bar_id", "field")
 
@@ -55,4 +62,4 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return profile.changed_columns(profile.divergent_loads(bars, R.find_stand_ins(bars)))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p2_found, p2_scored, p3_found, p3_regular, p4_found, p4_rolling, p5_found, p5_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_propagated, p2_found, p2_scored, p3_found, p3_regular, p4_found, p4_rolling, p5_found, p5_profile)}

@@ -24,7 +24,28 @@ w AS (
   FROM g LEFT JOIN d ON d.code = g.code AND d.day = g.day
   WINDOW p7 AS (PARTITION BY g.code ORDER BY g.day ROWS 6 PRECEDING), p30 AS (PARTITION BY g.code ORDER BY g.day ROWS 29 PRECEDING))"""
 
+#: Neighbours of a state's missing open and close on the chain open, close, next open, ...: the nearest observed values.
+CHAIN = """
+b AS (
+  SELECT code, CAST(date AS DATE) AS day, CASE WHEN NOT isnan(open) AND open > 0 AND open NOT IN (SELECT v FROM stand_ins) AND isfinite(open) THEN open END AS o,
+    CASE WHEN NOT isnan(close) AND close > 0 AND close NOT IN (SELECT v FROM stand_ins) AND isfinite(close) THEN close END AS c,
+    CASE WHEN NOT isnan(low) AND low > 0 THEN low END AS l, CASE WHEN NOT isnan(high) AND high > 0 THEN high END AS h
+  FROM hs300etf_day WHERE regexp_full_match(code, '[0-9]{6}') AND date IS NOT NULL),
+s AS (
+  SELECT code, day, avg(CASE WHEN (l IS NULL OR o >= 0.8::DOUBLE * l) AND (h IS NULL OR o <= 1.25::DOUBLE * h) THEN o END) AS o, avg(CASE WHEN (l IS NULL OR c >= 0.8::DOUBLE * l) AND (h IS NULL OR c <= 1.25::DOUBLE * h) THEN c END) AS c
+  FROM b GROUP BY ALL),
+n AS (SELECT *, 1.5::DOUBLE * (day - DATE '1970-01-01') AS x FROM s),
+k AS (
+  SELECT *, last_value(coalesce(c, o) IGNORE NULLS) OVER up AS pv, last_value(CASE WHEN c IS NOT NULL THEN x + 1 WHEN o IS NOT NULL THEN x END IGNORE NULLS) OVER up AS px,
+    first_value(coalesce(o, c) IGNORE NULLS) OVER down AS nv, first_value(CASE WHEN o IS NOT NULL THEN x WHEN c IS NOT NULL THEN x + 1 END IGNORE NULLS) OVER down AS nx
+  FROM n WINDOW up AS (PARTITION BY code ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), down AS (PARTITION BY code ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+e AS (
+  SELECT code, day, o, c, x, pv AS ov, px AS ox, coalesce(c, nv) AS ow, CASE WHEN c IS NOT NULL THEN x + 1 ELSE nx END AS oz, coalesce(o, pv) AS cv, CASE WHEN o IS NOT NULL THEN x ELSE px END AS cx, nv AS cw, nx AS cz
+  FROM k WHERE o IS NULL OR c IS NULL)"""
+
 ORACLES = {
+    "p1_propagated": f"""WITH {STAND_INS}, {CHAIN}
+SELECT code, CAST(day AS VARCHAR) AS day, round(coalesce(o, ov + (ow - ov) * (x - ox) / (oz - ox), ov, ow), 6) AS open, round(coalesce(c, cv + (cw - cv) * (x + 1 - cx) / (cz - cx), cv, cw), 6) AS close FROM e""",
     "p1_found": f"""WITH {STAND_INS}
 SELECT bar_id, 'open' AS field FROM hs300etf_day WHERE open IS NULL OR isnan(open) OR open IN (SELECT v FROM stand_ins)
 UNION ALL SELECT bar_id, 'close' FROM hs300etf_day WHERE close IS NULL OR isnan(close) OR close IN (SELECT v FROM stand_ins)

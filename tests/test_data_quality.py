@@ -104,22 +104,49 @@ def test_fill_of_nothing_and_of_all_null_columns(spark):
     assert sorted((r["bar_id"], r["field"], r["status"]) for r in out.collect()) == sorted([(1, f, "unfilled") for f in ("open", "close", "code")] * 2 + [(2, "open", "unfilled"), (2, "close", "unfilled")])
 
 
-def test_propagation_is_harmonic_like_brute_force(spark):
-    o = [10.0, None, None, None, 14.0]
-    df = spark.createDataFrame([("1", dt.date(2021, 1, 1) + dt.timedelta(days=k), x, x) for k, x in enumerate(o)], "code string, day date, o double, c double")
-    got = [r["o"] for r in fill.propagate_states(df, rounds=8).orderBy("day").collect()]
-    ov, cv = list(o), list(o)
-
-    def mean(*terms):
-        terms = [(x, w) for x, w in terms if x is not None]
-        return sum(x * w for x, w in terms) / sum(w for _, w in terms) if terms else None
-
-    for _ in range(8):
-        g = lambda v, k: v[k] if 0 <= k < 5 else None
-        no = [o[k] if o[k] is not None else mean((cv[k], 1), (g(cv, k - 1), 2), (g(ov, k - 1), 0.5), (g(ov, k + 1), 0.5)) for k in range(5)]
-        nc = [o[k] if o[k] is not None else mean((g(ov, k + 1), 2), (ov[k], 1), (g(cv, k - 1), 0.5), (g(cv, k + 1), 0.5)) for k in range(5)]
-        ov, cv = no, nc
-    assert got == pytest.approx(ov[1:4]) and got == sorted(got)
+def relaxed(days, o, c, rounds=60_000):
+    """Label propagation by hand: the weighted average of the neighbours, observed values clamped, until nothing moves."""
+    value, edges = {}, []
+    for k, d in enumerate(days):
+        value[k, "o"], value[k, "c"] = o[k], c[k]
+        edges.append(((k, "o"), (k, "c"), 1 / fill.WITHIN))
+        if k:
+            edges.append(((k - 1, "c"), (k, "o"), 1 / (fill.OVERNIGHT + (d - days[k - 1] - 1) * (fill.WITHIN + fill.OVERNIGHT))))
+    fixed = {n for n, v in value.items() if v is not None}
+    known = [v for v in value.values() if v is not None]
+    value = {n: v if v is not None else sum(known) / len(known) for n, v in value.items()}
+    free = [n for n in value if n not in fixed]
+    around = {n: [(a if b == n else b, w) for a, b, w in edges if n in (a, b)] for n in free}
+    for _ in range(rounds):
+        moved = 0.0
+        for n in free:
+            new = sum(value[x] * w for x, w in around[n]) / sum(w for _, w in around[n])
+            moved, value[n] = max(moved, abs(new - value[n])), new
+        if moved < 1e-13:
+            break
+    return [(value[k, "o"], value[k, "c"]) for k in range(len(days))]
+
+
+def test_propagation_has_converged(spark):
+    rng = np.random.default_rng(8)
+    for _ in range(4):
+        days = sorted(rng.choice(60, 14, replace=False).tolist())
+        o = [None if rng.random() < 0.6 else float(round(rng.uniform(5, 9), 3)) for _ in days]
+        c = [None if rng.random() < 0.6 else float(round(rng.uniform(5, 9), 3)) for _ in days]
+        c[5] = 7.0
+        df = spark.createDataFrame([("1", dt.date(2021, 1, 1) + dt.timedelta(days=d), a, b) for d, a, b in zip(days, o, c, strict=True)], "code string, day date, o double, c double")
+        got = [(r["o"], r["c"]) for r in fill.propagate_states(df).orderBy("day").collect()]
+        want = [x for x, a, b in zip(relaxed(days, o, c), o, c, strict=True) if a is None or b is None]
+        assert np.allclose(got, want, atol=1e-6)
+
+
+def test_a_long_gap_is_a_line(spark):
+    for gap in (10, 40, 300):
+        rows = [("1", dt.date(2021, 1, 1) + dt.timedelta(days=k), x, x) for k, x in enumerate([10.0] + [None] * gap + [20.0])]
+        got = [r["o"] for r in fill.propagate_states(spark.createDataFrame(rows, "code string, day date, o double, c double")).orderBy("day").collect()]
+        assert len(got) == gap and np.allclose(np.diff(got), (got[-1] - got[0]) / (gap - 1)) and got[0] < 10 + 20 / gap and got[-1] > 20 - 20 / gap
+    alone = spark.createDataFrame([("1", dt.date(2021, 1, 1), None, None), ("2", dt.date(2021, 1, 1), None, 3.0)], "code string, day date, o double, c double")
+    assert sorted(map(tuple, fill.propagate_states(alone).select("code", "o", "c").collect())) == [("1", None, None), ("2", 3.0, 3.0)]
 
 
 # ---- p2 ----------------------------------------------------------------------
