@@ -68,9 +68,14 @@ def readings(bars: DataFrame, instruments: DataFrame, calendar: DataFrame, *colu
     return own.join(F.broadcast(days), "day", "left_semi").join(listed, "code", "left_semi")
 
 
+def moment(time: Column, bar_id: Column) -> Column:
+    """A number that orders by time, then by bar_id; unlike a struct it can be aggregated by hash."""
+    return (F.unix_micros(time.cast("timestamp")).cast("decimal(38, 0)") * F.lit("1" + 19 * "0").cast("decimal(20, 0)") + bar_id).cast("decimal(38, 0)")
+
+
 def latest(rows: DataFrame, value: str) -> DataFrame:
     """One row per code, day and time: of bars delivered again, the one delivered last that has a value.
 
-    Partitioned by code and day, which the aggregates that follow reuse; a hot code is spread
-    over its days."""
-    return rows.repartition("code", "day").groupBy("code", "day", "date").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("bar_id"))).alias(value))
+    Partitioned by code and day, which the aggregates that follow reuse; a hot code is spread over its
+    days.  Times hardly repeat, so every reading is sent once."""
+    return rows.select("code", "day", "date", "bar_id", value).repartition("code", "day").groupBy("code", "day", "date").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("bar_id"))).alias(value))

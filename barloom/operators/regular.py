@@ -6,15 +6,17 @@ readings, taking the neighbours on both sides; a day without a reading gets
 the time-weighted linear interpolation of the two, unless the gap is longer
 than the limit, in which case it is marked and left empty.
 
-Scale: the readings of a (source, day) are reduced first to those that an as-of
-merge can pick: the last one up to the grid time, the first one from it, and
-the first and last of the day.  A source is then bounded by the days of the
-calendar, and both sides of the merge are windows over one exchange.
+Scale: the readings of a (source, day) are reduced first, map-side, to those
+that an as-of merge can pick: the last one up to the grid time, the first one
+from it, and the first and last of the day.  A source is then bounded by the
+days of the calendar, and both sides of the merge are windows over one
+exchange.
 
 Defined results: a reading without a usable value still makes its day
 observed (status "observed_without_value", its value interpolated where the
-gap allows); ties at one time are settled by the latest delivery; a source
-with one reading has one entry; an empty table gives an empty grid; values
+gap allows); ties at one time are settled by the latest delivery with a usable value; a source
+with one reading has one entry; a side without any value is a gap without a
+length; an empty table gives an empty grid; values
 that are not positive are not used as neighbours.
 """
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.readings import latest, open_days
+from barloom.operators.readings import moment, open_days
 
 
 def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open", at_hour: int = 15, gap_limit_days: int = 5) -> DataFrame:
@@ -31,16 +33,17 @@ def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open"
 
     readings: bar_id, code, date, day, value (null where not usable)."""
     days = open_days(calendar)
-    rows = latest(readings, value)
-    use = F.col(value) > 0
     grid_time = F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(at_hour))
-    pre, post = use & (F.col("date") <= grid_time), use & (F.col("date") >= grid_time)
+    use = F.col(value) > 0
+    rows = readings.select("code", "day", "date", value, F.when(use, moment(F.col("date"), F.col("bar_id"))).alias("late"), F.when(use, moment(F.col("date"), -F.col("bar_id"))).alias("early"))
+    pre, post = F.col("date") <= grid_time, F.col("date") >= grid_time
 
-    def pick(first: bool, when):
-        t = F.when(when, F.col("date"))
-        return (F.min if first else F.max)(t), (F.min_by if first else F.max_by)(value, t)
+    def pick(first: bool, when=F.lit(True)):
+        k = F.when(when, F.col("early" if first else "late"))
+        t = F.when(when & use, F.col("date"))
+        return (F.min if first else F.max)(t), (F.min_by if first else F.max_by)(value, k)
 
-    (bt, bv), (at, av), (ft, fv), (lt, lv) = pick(False, pre), pick(True, post), pick(True, use), pick(False, use)
+    (bt, bv), (at, av), (ft, fv), (lt, lv) = pick(False, pre), pick(True, post), pick(True), pick(False)
     daily = rows.groupBy("code", "day").agg(bt.alias("bt"), bv.alias("bv"), at.alias("at"), av.alias("av"), ft.alias("ft"), fv.alias("fv"), lt.alias("lt"), lv.alias("lv"))
     daily = daily.join(F.broadcast(days), "day")
     span = daily.groupBy("code").agg(F.min("day_no").alias("lo"), F.max("day_no").alias("hi"))
@@ -58,7 +61,7 @@ def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open"
     seconds = lambda c: F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
     here, left, right = seconds(grid_time), seconds(F.col("pt")), seconds(F.col("nt"))
     line = F.when(F.col("pt") == F.col("nt"), F.col("pv")).when(right > left, F.col("pv") + (F.col("nv") - F.col("pv")) * (here - left) / (right - left))
-    gap = F.greatest(F.col("nn") - F.col("pn") - 1, F.lit(0))  # days without a value between the two neighbours
+    gap = F.when(F.col("nn").isNotNull() & F.col("pn").isNotNull(), F.greatest(F.col("nn") - F.col("pn") - 1, F.lit(0)))  # days without a value between the two neighbours
     near = gap <= gap_limit_days
     seen = F.coalesce(F.col("has"), F.lit(False))
     status = F.when(seen & F.col("ft").isNotNull(), "observed").when(seen, "observed_without_value").when(near, "filled").otherwise("gap")

@@ -1,13 +1,14 @@
 """Rolling totals over trailing calendar periods, by binary doubling.
 
-Sums and counts of blocks of 1, 2, 4, 8 and 16 days are built one from the
-other (a block of 2k days is the block of k days that ends here plus the one
-that ended k days before); any trailing period up to 31 days is then a
-combination of shifted blocks: 7 = 4 + 2 + 1, 30 = 16 + 8 + 4 + 2.
+Sums and counts of blocks of 1, 2, 4, 8 and 16 days, and further doubles as far
+as the longest period asks, are built one from the other (a block of 2k days is
+the block of k days that ends here plus the one that ended k days before); any
+trailing period is then a combination of shifted blocks: 7 = 4 + 2 + 1, 30 = 16
++ 8 + 4 + 2.
 
-Scale: readings are reduced to one row per source and day (partial
-aggregates), so a source is bounded by the length of its history; the dense
-grid of days makes every shift a plain lag.  All levels are windows on the same
+Scale: readings are sent once, by source and day, and reduced to one row for
+each, so a source is bounded by the length of its history; the dense grid of
+days makes every shift a plain lag.  All levels are windows on the same
 partitioning and order: one exchange and one sort for the whole operator.
 
 Defined results: days without activity are rows with n = 0, total 0 and a null
@@ -26,13 +27,13 @@ from barloom.operators.readings import latest
 
 def shifted_blocks(period: int) -> list[tuple[int, int]]:
     """(block, shift) pairs that cover the trailing ``period`` days once each."""
-    if not 1 <= period <= 31:
-        raise ValueError("a period has 1 to 31 days")
+    if period < 1:
+        raise ValueError("a period has at least one day")
     parts, shift = [], 0
-    for block in (16, 8, 4, 2, 1):
-        if period & block:
-            parts.append((block, shift))
-            shift += block
+    for power in reversed(range(period.bit_length())):
+        if period >> power & 1:
+            parts.append((1 << power, shift))
+            shift += 1 << power
     return parts
 
 
@@ -49,7 +50,7 @@ def rolling_totals(readings: DataFrame, value: str = "close", periods: tuple[int
     dense = daily.withColumn("until", until).select("code", "s1", "n1", F.col("day").alias("from_day"), F.explode(F.sequence("day", "until")).alias("day"))
     first = F.col("day") == F.col("from_day")
     level = dense.select("code", "day", F.when(first, F.col("s1")).otherwise(0.0).alias("s1"), F.when(first, F.col("n1")).otherwise(0).alias("n1"))
-    for k in (1, 2, 4, 8):
+    for k in (1 << power for power in range(max(periods).bit_length() - 1)):
         level = level.withColumns({f"{c}{2 * k}": F.col(f"{c}{k}") + F.lag(f"{c}{k}", k, 0).over(w) for c in "sn"})
 
     def combined(c: str, period: int) -> Column:

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 BARS = """
-q AS (
-  SELECT h.code, CAST(h.date AS DATE) AS day,
-    CAST(round(h.open * 1000) AS BIGINT) AS o, CAST(round(h.high * 1000) AS BIGINT) AS h, CAST(round(h.low * 1000) AS BIGINT) AS l, CAST(round(h.close * 1000) AS BIGINT) AS c,
-    row_number() OVER (PARTITION BY h.code, CAST(h.date AS DATE) ORDER BY h.date DESC, h.bar_id DESC) AS k
-  FROM hs300etf_day h
-  WHERE h.code IN (SELECT code FROM etf_info) AND CAST(h.date AS DATE) IN (SELECT CAST(cal_date AS DATE) FROM trade_calendar WHERE is_open = 1)
-    AND h.low > 0 AND h.high >= h.low AND h.high <= 1.5::DOUBLE * h.low
-    AND h.open BETWEEN 0.99::DOUBLE * h.low AND 1.01::DOUBLE * h.high AND h.close BETWEEN 0.99::DOUBLE * h.low AND 1.01::DOUBLE * h.high),
-bars AS (SELECT code, day, o, h, l, c, row_number() OVER (PARTITION BY code ORDER BY day) AS n FROM q WHERE k = 1)"""
+q0 AS (
+  SELECT code, CAST(date AS DATE) AS day, date, bar_id, CASE WHEN open > 0 AND NOT isnan(open) THEN open END AS po, CASE WHEN close > 0 AND NOT isnan(close) THEN close END AS pc,
+    CASE WHEN low > 0 AND high >= low AND high <= 1.5::DOUBLE * low AND NOT isnan(high) THEN low END AS pl, CASE WHEN low > 0 AND high >= low AND high <= 1.5::DOUBLE * low AND NOT isnan(high) THEN high END AS ph
+  FROM hs300etf_day WHERE code IN (SELECT code FROM etf_info) AND CAST(date AS DATE) IN (SELECT CAST(cal_date AS DATE) FROM trade_calendar WHERE is_open = 1)),
+q1 AS (
+  SELECT *, CASE WHEN po BETWEEN 0.99::DOUBLE * pl AND 1.01::DOUBLE * ph OR pl IS NULL AND po <= 1.5::DOUBLE * pc AND pc <= 1.5::DOUBLE * po THEN po END AS so,
+    CASE WHEN pc BETWEEN 0.99::DOUBLE * pl AND 1.01::DOUBLE * ph OR pl IS NULL AND po <= 1.5::DOUBLE * pc AND pc <= 1.5::DOUBLE * po THEN pc END AS sc
+  FROM q0),
+q2 AS (SELECT *, so IS NOT NULL AND sc IS NOT NULL AND pl IS NOT NULL AS clean, coalesce(so, sc, (pl + ph) / 2) AS oo, coalesce(sc, so, (pl + ph) / 2) AS cc FROM q1),
+q3 AS (SELECT *, coalesce(pl, least(oo, cc)) AS ll, coalesce(ph, greatest(oo, cc)) AS hh, row_number() OVER (PARTITION BY code, day ORDER BY clean DESC, date DESC, bar_id DESC) AS k FROM q2 WHERE oo IS NOT NULL),
+q AS (SELECT code, day, CAST(round(oo * 1000) AS BIGINT) AS o, CAST(round(hh * 1000) AS BIGINT) AS h, CAST(round(ll * 1000) AS BIGINT) AS l, CAST(round(cc * 1000) AS BIGINT) AS c FROM q3 WHERE k = 1),
+bars AS (SELECT code, day, o, h, l, c, row_number() OVER (PARTITION BY code ORDER BY day) AS n FROM q)"""
 
 
 def _full(f: str, x: str, n: int) -> str:

@@ -34,12 +34,16 @@ def p2_scored(spark: SparkSession, folder: str) -> DataFrame:
     return spikes.score_readings(clean_readings(spark, folder, "open", "close"))
 
 
-def p3_regular(spark: SparkSession, folder: str) -> DataFrame:
+def _series(spark: SparkSession, folder: str) -> DataFrame:
     return regular.regular_series(clean_readings(spark, folder, "open"), table(spark, folder, "trade_calendar"))
 
 
+def p3_regular(spark: SparkSession, folder: str) -> DataFrame:
+    return _series(spark, folder).withColumn("value", F.round("value", 6))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return regular.missing_days(p3_regular(spark, folder))
+    return regular.missing_days(_series(spark, folder))
 
 
 def p4_rolling(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,6 +52,12 @@ def p4_rolling(spark: SparkSession, folder: str) -> DataFrame:
     return totals.withColumns({f"avg_{p}": F.when(F.col(f"n_{p}") > 0, F.col(f"total_{p}") / F.col(f"n_{p}")) for p in (7, 30)})
 
 
+def p4_rolling_quarter(spark: SparkSession, folder: str) -> DataFrame:
+    """Periods beyond a month: 90 and 250 days."""
+    totals = rolling.rolling_totals(clean_readings(spark, folder, "close"), periods=(90, 250))
+    return totals.select("code", "day", *(F.round(f"total_{p}", 3).alias(f"total_{p}") for p in (90, 250)), "n_90", "n_250")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return rolling.idle_days(p4_rolling(spark, folder))
 
@@ -62,4 +72,4 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return profile.changed_columns(profile.divergent_loads(bars, R.find_stand_ins(bars)))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_propagated, p2_found, p2_scored, p3_found, p3_regular, p4_found, p4_rolling, p5_found, p5_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_propagated, p2_found, p2_scored, p3_found, p3_regular, p4_found, p4_rolling, p4_rolling_quarter, p5_found, p5_profile)}

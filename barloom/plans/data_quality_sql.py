@@ -54,6 +54,21 @@ UNION ALL SELECT bar_id, 'code' FROM hs300etf_day WHERE code IS NULL OR NOT rege
 s AS (SELECT code, min(day) AS lo, max(day) AS hi FROM r GROUP BY code)
 SELECT s.code, CAST(CAST(c.cal_date AS DATE) AS VARCHAR) AS day FROM s JOIN trade_calendar c ON c.is_open = 1 AND CAST(c.cal_date AS DATE) > s.lo AND CAST(c.cal_date AS DATE) < s.hi
 WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.code = s.code AND r.day = CAST(c.cal_date AS DATE))""",
+    "p3_regular": f"""WITH {STAND_INS}, {READINGS},
+days AS (SELECT day, row_number() OVER (ORDER BY day) AS no FROM (SELECT DISTINCT CAST(cal_date AS DATE) AS day FROM trade_calendar WHERE is_open = 1)),
+u AS (SELECT r.code, r.day, r.date, d.no, arg_max(r.open, r.bar_id) AS v FROM r JOIN days d ON d.day = r.day WHERE r.open > 0 GROUP BY ALL),
+seen AS (SELECT code, day, count(open) FILTER (open > 0) AS k FROM r GROUP BY ALL),
+g AS (SELECT s.code, d.day, d.no, CAST(d.day AS TIMESTAMP) + INTERVAL 15 HOUR AS tick FROM (SELECT code, min(day) AS lo, max(day) AS hi FROM r GROUP BY code) s JOIN days d ON d.day BETWEEN s.lo AND s.hi),
+a AS (SELECT g.*, p.date AS pt, p.v AS pv, p.no AS pn, p.day AS pd FROM g ASOF LEFT JOIN u p ON p.code = g.code AND p.date <= g.tick),
+m AS (SELECT a.*, n.date AS nt, n.v AS nv, n.no AS nn, n.day AS nd, CASE WHEN n.no IS NOT NULL AND a.pn IS NOT NULL THEN greatest(n.no - a.pn - 1, 0) END AS gap FROM a ASOF LEFT JOIN u n ON n.code = a.code AND n.date >= a.tick)
+SELECT m.code, CAST(m.day AS VARCHAR) AS day, CAST(gap AS INTEGER) AS gap_days,
+  CASE WHEN s.k > 0 THEN 'observed' WHEN s.k = 0 THEN 'observed_without_value' WHEN gap <= 5 THEN 'filled' ELSE 'gap' END AS status,
+  round(CASE WHEN gap <= 5 THEN CASE WHEN pt = nt THEN pv ELSE pv + (nv - pv) * (epoch_us(tick) - epoch_us(pt)) / CAST(epoch_us(nt) - epoch_us(pt) AS DOUBLE) END WHEN pd = m.day THEN pv WHEN nd = m.day THEN nv END, 6) AS value
+FROM m LEFT JOIN seen s ON s.code = m.code AND s.day = m.day""",
+    "p4_rolling_quarter": f"""WITH {STAND_INS}, {READINGS}, {ROLLING}
+SELECT code, CAST(day AS VARCHAR) AS day, round(coalesce(sum(s) OVER p90, 0), 3) AS total_90, round(coalesce(sum(s) OVER p250, 0), 3) AS total_250, CAST(coalesce(sum(n) OVER p90, 0) AS INTEGER) AS n_90, CAST(coalesce(sum(n) OVER p250, 0) AS INTEGER) AS n_250
+FROM (SELECT g.code, g.day, d.s, d.n FROM g LEFT JOIN d ON d.code = g.code AND d.day = g.day)
+WINDOW p90 AS (PARTITION BY code ORDER BY day ROWS 89 PRECEDING), p250 AS (PARTITION BY code ORDER BY day ROWS 249 PRECEDING)""",
     "p4_found": f"WITH {STAND_INS}, {READINGS}, {ROLLING} SELECT code, CAST(day AS VARCHAR) AS day FROM w WHERE n_7 = 0",
     "p4_rolling": f"""WITH {STAND_INS}, {READINGS}, {ROLLING},
 t AS (SELECT code, day, n_7, n_30, round(CASE WHEN n_7 = 0 THEN 0 ELSE total_7 END, 4) + 0.0 AS total_7, round(CASE WHEN n_30 = 0 THEN 0 ELSE total_30 END, 4) + 0.0 AS total_30 FROM w)

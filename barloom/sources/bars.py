@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PRICES = ("open", "high", "low", "close")
-#: A clean bar's high is at most this many times its low, and its prices lie within that range but for one in a hundred.
+#: A bar's high is at most this many times its low, and its prices lie within that range but for one in a hundred.
 MOST_RANGE = 1.5
 
 
@@ -59,7 +59,8 @@ def read_bars_folder(spark: SparkSession, folder: str, format: str = "csv", head
     """All bar files of a folder; where the files have no code, it is the file's name."""
     header = list(header)
     if format == "csv":
-        raw = spark.read.schema(_schema(header, T.TimestampNTZType())).option("header", True).csv(folder)
+        # columns go by position: files whose own header names others, or another order, are refused
+        raw = spark.read.schema(_schema(header, T.TimestampNTZType())).option("header", True).option("enforceSchema", False).csv(folder)
     else:
         raw = spark.read.format(format).load(folder)
     if "code" not in raw.columns:
@@ -72,20 +73,42 @@ def no_nan(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")}) if any(t in ("double", "float") for _, t in df.dtypes) else df
 
 
+def sound_prices(bars: DataFrame) -> DataFrame:
+    """The bars with open, high, low, close made sound, and clean: whether nothing had to be.
+
+    A range counts if its high is at least its low and at most MOST_RANGE times as much; a price, if it is
+    positive and within the range but for one in a hundred or, where there is no range, within MOST_RANGE
+    of the other price.  What is not sound is taken from the other price, then from the middle of the
+    range; a missing range is that of the two prices.  Bars with nothing sound leave."""
+    positive = lambda c: F.when((F.col(c) > 0) & ~F.isnan(c), F.col(c))
+    low, high, open_, close = (positive(c) for c in ("low", "high", "open", "close"))
+    ranged = F.coalesce((high >= low) & (high <= MOST_RANGE * low), F.lit(False))
+    rows = bars.withColumns({"_r": ranged, "_l": F.when(ranged, low), "_h": F.when(ranged, high), "_o": open_, "_c": close})
+    near = (F.col("_o") <= MOST_RANGE * F.col("_c")) & (F.col("_c") <= MOST_RANGE * F.col("_o"))
+    sound = lambda c: F.when(F.when(F.col("_r"), F.col(c).between(0.99 * F.col("_l"), 1.01 * F.col("_h"))).otherwise(near), F.col(c))
+    rows = rows.withColumns({"_o": sound("_o"), "_c": sound("_c")})
+    middle = (F.col("_l") + F.col("_h")) / 2
+    rows = rows.withColumns({"clean": F.col("_r") & F.col("_o").isNotNull() & F.col("_c").isNotNull(), "open": F.coalesce("_o", "_c", middle), "close": F.coalesce("_c", "_o", middle)})
+    rows = rows.where("open is not null").withColumns({"low": F.coalesce("_l", F.least("open", "close")), "high": F.coalesce("_h", F.greatest("open", "close"))})
+    return rows.drop("_r", "_l", "_h", "_o", "_c")
+
+
 def daily_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """code, day and whole thousandths o, h, l, c of the clean daily bars: the last reading of each
-    day of a listed instrument.  Averages of whole numbers are exact, so crosses never hang on a last bit.
+    """code, day and whole thousandths o, h, l, c of the daily bars of listed instruments: the last reading
+    of each day, clean ones before those that had to be made sound.  No day with a sound price is lost.
+    Averages of whole numbers are exact, so crosses never hang on a last bit.
 
-    One partial aggregate per (code, day); a code with many readings a day is reduced map-side."""
+    One partial hash aggregate per (code, day); a code with many readings a day is reduced map-side."""
     bars = spark.read.parquet(f"{folder}/hs300etf_day.parquet").select("bar_id", "code", "date", *PRICES)
-    within = lambda c: F.col(c).between(0.99 * F.col("low"), 1.01 * F.col("high"))
-    clean = bars.where((F.col("low") > 0) & (F.col("high") >= F.col("low")) & (F.col("high") <= MOST_RANGE * F.col("low")) & within("open") & within("close"))
     days = spark.read.parquet(f"{folder}/trade_calendar.parquet").where("is_open = 1").select(F.to_date("cal_date").alias("day"))
     listed = spark.read.parquet(f"{folder}/etf_info.parquet").select("code")
-    own = clean.withColumn("day", F.to_date("date")).join(F.broadcast(days), "day", "left_semi").join(listed, "code", "left_semi")
+    own = sound_prices(bars.where("code is not null and date is not null")).withColumn("day", F.to_date("date")).join(F.broadcast(days), "day", "left_semi").join(listed, "code", "left_semi")
+    # one number to order by, so that the aggregate can hash: clean first, then the time, then the bar
+    number = "cast({} as decimal(38, 0))".format
+    order = F.expr(f"{number('cast(clean as int)')} * {number('1' + 36 * '0')} + {number('unix_micros(cast(date as timestamp))')} * {number('1' + 19 * '0')} + bar_id")
     whole = {k: F.round(F.col(c) * 1000).cast("long") for k, c in zip("ohlc", PRICES, strict=True)}
-    last = F.struct("date", "bar_id", *(x.alias(k) for k, x in whole.items()))
-    return own.groupBy("code", "day").agg(F.max(last).alias("x")).select("code", "day", "x.o", "x.h", "x.l", "x.c")
+    rows = own.select("code", "day", order.cast("decimal(38, 0)").alias("order"), *(x.alias(k) for k, x in whole.items()))
+    return rows.groupBy("code", "day").agg(*(F.max_by(k, "order").alias(k) for k in "ohlc"))
 
 
 def benchmark(spark: SparkSession, folder: str) -> DataFrame:
