@@ -75,3 +75,8 @@ def lot_floor(value: Column, lot: Column | int) -> Column:
 def most_affordable(price: Column, cash: Column, commission: Column | float, lot: Column | int) -> Column:
     """Units that the cash buys after commission, in whole lots."""
     return lot_floor(cash * (F.lit(1.0) - commission) / price, lot)
+
+
+def null_for_nan(df: DataFrame, columns: list[str]) -> DataFrame:
+    """What grouped Python gives back as NaN is NULL."""
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})

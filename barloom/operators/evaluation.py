@@ -69,3 +69,18 @@ def position_view(ledger: DataFrame) -> DataFrame:
     final = x.groupBy("code").agg(F.max_by(F.struct("position", "market_value", "total_asset", "cost", F.col("open").alias("price"), "daily", "held"), "day").alias("x")).select("code", "x.*")
     holds = F.col("position") != 0
     return final.select("code", "market_value", F.col("position").alias("hold_vol"), F.when(holds, F.col("cost")).alias("cost"), "price", F.col("daily").alias("daily_profit_loss"), F.try_divide("market_value", "total_asset").alias("position_ratio"), F.when(holds, F.col("held")).otherwise(0).alias("hold_days"))
+
+
+def monthly_returns(returns: DataFrame) -> DataFrame:
+    """code, month (first day), monthly_return, days: the days' returns of each month, compounded."""
+    months = returns.groupBy("code", F.trunc("day", "month").alias("month"))
+    return months.agg((F.product(1 + F.col("stra_pct_returns")) - 1).alias("monthly_return"), F.count(F.lit(1)).alias("days"))
+
+
+def drawdowns(ledger: DataFrame) -> DataFrame:
+    """code, peak_day, last_day, days, depth: each stretch below the highest asset so far, from the day of
+    that peak.  The windows and the aggregate share one exchange."""
+    w = I.series().rowsBetween(Window.unboundedPreceding, 0)
+    under = ledger.select("code", "day", "total_asset").withColumn("peak", F.max("total_asset").over(w))
+    under = under.withColumn("peak_day", F.max(F.when(F.col("total_asset") >= F.col("peak"), F.col("day"))).over(w)).where("total_asset < peak")
+    return under.groupBy("code", "peak_day").agg(F.max("day").alias("last_day"), F.count(F.lit(1)).alias("days"), F.min(F.col("total_asset") / F.col("peak") - 1).alias("depth"))

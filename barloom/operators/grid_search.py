@@ -94,3 +94,10 @@ def best_pairs(returns: DataFrame) -> DataFrame:
     """The best pair of each instrument; of equal ones that with the smaller fast, then slow period."""
     first = F.max_by(F.struct("period_fast", "period_slow", "total_returns"), F.struct("total_returns", -F.col("period_fast"), -F.col("period_slow")))
     return returns.groupBy("code").agg(first.alias("x")).select("code", "x.*")
+
+
+def summary_lines(returns: DataFrame, cash: float = Settings.cash) -> DataFrame:
+    """code, pair ("5-20") and a line of text for each tested pair."""
+    pair = F.concat_ws("-", "period_fast", "period_slow")
+    line = F.format_string("%s: final asset %.4f, total returns %.4f", pair, F.col("total_returns") + F.lit(cash), "total_returns")
+    return returns.select("code", pair.alias("pair"), line.alias("line"))

@@ -20,6 +20,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from barloom.functions.indicators import null_for_nan
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -169,6 +171,4 @@ def with_ledger(df: DataFrame, rules: str | Rules = "d", settings: Settings | No
         rows[:, 0] += 0.0  # no negative zero
         return pd.concat([p, pd.DataFrame(rows, columns=["position", "market_value", "cash", "total_asset"])], axis=1)
 
-    from barloom.operators.recursive import _null
-
-    return _null(df.groupBy(*keys).applyInPandas(fold, schema), ["position", "market_value", "cash", "total_asset"])
+    return null_for_nan(df.groupBy(*keys).applyInPandas(fold, schema), ["position", "market_value", "cash", "total_asset"])

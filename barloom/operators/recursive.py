@@ -11,6 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from barloom.functions.indicators import null_for_nan
+
 
 def ema(values: np.ndarray, n: int) -> np.ndarray:
     """The mean of the first n valid values, then e + 2 / (n + 1) * (x - e); leading NaN are skipped."""
@@ -32,7 +34,7 @@ def with_ema(df: DataFrame, periods: tuple[int, ...], value: str = "close", code
         p = p.sort_values(order)
         return p.assign(**{f"ema_{n}": ema(p[value].to_numpy(float), n) for n in periods})
 
-    return _null(df.select(code, order, value).groupBy(code).applyInPandas(fold, schema), [f"ema_{n}" for n in periods])
+    return null_for_nan(df.select(code, order, value).groupBy(code).applyInPandas(fold, schema), [f"ema_{n}" for n in periods])
 
 
 def with_macd(df: DataFrame, fast: int = 12, slow: int = 26, smooth: int = 9, value: str = "close", code: str = "code", order: str = "day") -> DataFrame:
@@ -46,10 +48,5 @@ def with_macd(df: DataFrame, fast: int = 12, slow: int = 26, smooth: int = 9, va
         dea = ema(dif, smooth)
         return p.assign(dif=dif, dea=dea, macd=2 * (dif - dea))
 
-    return _null(df.groupBy(code).applyInPandas(fold, schema), ["dif", "dea", "macd"])
-
-
-def _null(df: DataFrame, columns: list[str]) -> DataFrame:
-    from pyspark.sql import functions as F
+    return null_for_nan(df.groupBy(code).applyInPandas(fold, schema), ["dif", "dea", "macd"])
 
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})

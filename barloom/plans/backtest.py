@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from barloom.functions import indicators as I
 from barloom.operators import books, evaluation, grid_search, recursive, signals
 from barloom.operators.ledger import Settings, with_ledger
+from barloom.sources import bars as feeds
 from barloom.sources.bars import benchmark, daily_bars
 from barloom.sources.tables import table
+from barloom.session import discard_at_end, shared_folder
+from barloom.strategy import AverageCross, Backtest, MacdCross
 from barloom.streaming.online import replay_online
 
 SMALL_FAST, SMALL_SLOW = (5, 10), (20, 30)
@@ -102,6 +106,72 @@ def _ledger(spark, folder, rules="d", settings=None) -> DataFrame:
     return with_ledger(t.select("code", "day", "open", "open_pct_change", "trade"), rules, settings)
 
 
+def _fed(spark, folder, by_code: bool = False) -> str:
+    """The daily bars as CSV files in the shared folder until the application ends."""
+    path = f"{shared_folder(spark)}/feed-{uuid.uuid4().hex}"
+    discard_at_end(spark, path)
+    rows = _priced(spark, folder).select(F.col("day").cast("timestamp_ntz").alias("date"), "code", "open", "close")
+    return feeds.write_csv_bars(rows.repartition("code") if by_code else rows, path, by_code)
+
+
+def feed_csv(spark, folder):
+    """The daily bars through CSV files, dates parsed."""
+    rows = feeds.read_csv_bars(spark, _fed(spark, folder))
+    return rows.select("code", F.date_format("date", "yyyy-MM-dd").alias("day"), "open", "close")
+
+
+def feed_csv_text(spark, folder):
+    """The same, dates as written."""
+    return feeds.read_csv_bars(spark, _fed(spark, folder), parse_dates=False).select("code", "date", "close")
+
+
+def feed_folder(spark, folder):
+    """The daily bars through a folder of files for each instrument."""
+    rows = feeds.read_bars_folder(spark, _fed(spark, folder, by_code=True), header=("date", "open", "close", "code"))
+    return rows.select("code", F.date_format("date", "yyyy-MM-dd").alias("day"), "open", "close")
+
+
+def feed_united(spark, folder):
+    """Two feeds as one: the benchmark beside the bars, under a code of its own."""
+    mark = benchmark(spark, folder).select(F.lit("benchmark").alias("code"), "day", "close")
+    return feeds.union_bars(_priced(spark, folder).select("code", "day", "open", "close"), mark).select("code", _day(), "open", "close")
+
+
+OTHER = Settings(cash=1_000_000.0, commission=0.003, lot=200, slippage=0.02, position_limit=0.5)
+
+
+def ledger_settings(spark, folder):
+    """Another account and broker, and half of the cash at most in a position."""
+    return _shown(_ledger(spark, folder, "d", OTHER))
+
+
+def facade_macd(spark, folder):
+    """backtest_macd by way of the facade."""
+    x = evaluation.final_assets(Backtest().add_data(daily_bars(spark, folder)).add_strategy(MacdCross()).set_rules("c").run())
+    return x.select("code", _day(), _r(F.col("total_asset"), 3).alias("total_asset"))
+
+
+def facade_report(spark, folder):
+    """report_metrics by way of the facade."""
+    m = Backtest().add_data(daily_bars(spark, folder)).add_strategy(AverageCross(5, 20)).evaluate(benchmark(spark, folder))
+    return m.select("code", F.col("days").cast("long").alias("days"), *(_r(F.col(c), 5).alias(c) for c in m.columns[2:]))
+
+
+def param_lines(spark, folder):
+    """Label and summary line of each tested pair."""
+    return grid_search.summary_lines(param_returns(spark, folder))
+
+
+def monthly_returns(spark, folder):
+    m = evaluation.monthly_returns(evaluation.strategy_returns(_ledger(spark, folder)))
+    return m.select("code", F.date_format("month", "yyyy-MM").alias("month"), _r(F.col("monthly_return")).alias("monthly_return"), "days")
+
+
+def drawdowns(spark, folder):
+    d = evaluation.drawdowns(_ledger(spark, folder))
+    return d.select("code", F.date_format("peak_day", "yyyy-MM-dd").alias("peak_day"), F.date_format("last_day", "yyyy-MM-dd").alias("last_day"), "days", _r(F.col("depth")).alias("depth"))
+
+
 def _shown(ledger: DataFrame, places: int = 4) -> DataFrame:
     return ledger.select("code", _day(), "trade", *(_r(F.col(c), places).alias(c) for c in ("position", "market_value", "cash", "total_asset")))
 
@@ -214,6 +284,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         bars_daily, pct_change_open, sma, sma_warmup_drop, llv, hhv, rsv, kdj, crossup_sma, trade_delay, ema, macd, macd_signal, max_pos, ledger_a, ledger_b, ledger_c, ledger_d, ledger_c_fixed_volume, online_sma,
         final_asset, backtest_sma, backtest_macd, param_grid, param_returns, param_best, param_returns_full, param_best_full, strategy_returns, benchmark_returns, report_metrics, account_view, position_view,
-        account_history, account_latest, position_book,
+        account_history, account_latest, position_book, feed_csv, feed_csv_text, feed_folder, feed_united, ledger_settings, facade_macd, facade_report, param_lines, monthly_returns, drawdowns,
     )
 }

@@ -63,13 +63,13 @@ _SIZES = {
 }
 
 
-def _ledger(rules: str, units: float | None = None, at: str = "") -> str:
+def _ledger(rules: str, units: float | None = None, at: str = "", opening: float = 100000.0, fee: float = 0.002, lot: float = 100.0, slip: float = 0.01, share: float = 1.0) -> str:
     """One row a bar: position p, market value m, cash c, total t."""
     price = {"own": "own", "raw": "open", "far": "far", "unit": "own"}
     fl, fs, sl, ls = _SIZES[rules]
     sized = f"CASE WHEN p = 0 AND trade > 0 THEN {price[fl]} WHEN p = 0 THEN {price[fs]} WHEN trade > 0 THEN {price[sl]} ELSE {price[ls]} END"
-    back = "c + m" if rules != "c" else "c + v - v * 0.002::DOUBLE"
-    lots = "trade * (CASE WHEN w < 0 AND w % 100.0::DOUBLE <> 0 THEN w - w % 100.0::DOUBLE - 100 ELSE w - w % 100.0::DOUBLE END)"
+    back = "c + m" if rules != "c" else f"c + v - v * {fee}::DOUBLE"
+    lots = f"trade * (CASE WHEN w < 0 AND w % {lot}::DOUBLE <> 0 THEN w - w % {lot}::DOUBLE - {lot} ELSE w - w % {lot}::DOUBLE END)"
     if units is not None:
         lots = f"{units}::DOUBLE"
     elif "unit" in _SIZES[rules]:
@@ -77,17 +77,17 @@ def _ledger(rules: str, units: float | None = None, at: str = "") -> str:
     lost = "NULL" if rules in "ab" else "'hold'"
     return f"""
 l{at} AS (
-  SELECT code, i, 0.0::DOUBLE AS p, 0.0::DOUBLE AS m, 100000.0::DOUBLE AS c, 100000.0::DOUBLE AS t FROM x{at} WHERE i = 1
+  SELECT code, i, 0.0::DOUBLE AS p, 0.0::DOUBLE AS m, {opening}::DOUBLE AS c, {opening}::DOUBLE AS t FROM x{at} WHERE i = 1
   UNION ALL
   SELECT code, i,
     CASE act WHEN 'hold' THEN p WHEN 'deal' THEN u END,
     CASE act WHEN 'hold' THEN CASE WHEN p > 0 THEN m * (1 + r) WHEN p < 0 THEN m * (1 - r) ELSE 0 END WHEN 'deal' THEN abs(u) * own END,
-    CASE act WHEN 'hold' THEN c WHEN 'deal' THEN k - abs(u) * own - abs(u) * own * 0.002::DOUBLE END,
-    CASE act WHEN 'hold' THEN CASE WHEN p > 0 THEN m * (1 + r) + c WHEN p < 0 THEN m * (1 - r) + c ELSE t END WHEN 'deal' THEN abs(u) * own + (k - abs(u) * own - abs(u) * own * 0.002::DOUBLE) END
-  FROM (SELECT *, {lots} AS u FROM (SELECT *, k * 0.998::DOUBLE / ({sized}) AS w FROM (SELECT *, CASE WHEN p = 0 THEN c ELSE {back} END AS k FROM (
+    CASE act WHEN 'hold' THEN c WHEN 'deal' THEN k - abs(u) * own - abs(u) * own * {fee}::DOUBLE END,
+    CASE act WHEN 'hold' THEN CASE WHEN p > 0 THEN m * (1 + r) + c WHEN p < 0 THEN m * (1 - r) + c ELSE t END WHEN 'deal' THEN abs(u) * own + (k - abs(u) * own - abs(u) * own * {fee}::DOUBLE) END
+  FROM (SELECT *, {lots} AS u FROM (SELECT *, k * {share}::DOUBLE * {1 - fee}::DOUBLE / ({sized}) AS w FROM (SELECT *, CASE WHEN p = 0 THEN c ELSE {back} END AS k FROM (
     SELECT x.code, x.i, x.open, x.r, x.trade, l.p, l.m, l.c, l.t,
-      CASE WHEN x.trade > 0 THEN x.open + 0.01::DOUBLE ELSE x.open - 0.01::DOUBLE END AS own, CASE WHEN x.trade > 0 THEN x.open - 0.01::DOUBLE ELSE x.open + 0.01::DOUBLE END AS far,
-      (CASE WHEN l.p > 0 THEN x.open + 0.01::DOUBLE ELSE x.open - 0.01::DOUBLE END) * abs(l.p) AS v,
+      CASE WHEN x.trade > 0 THEN x.open + {slip}::DOUBLE ELSE x.open - {slip}::DOUBLE END AS own, CASE WHEN x.trade > 0 THEN x.open - {slip}::DOUBLE ELSE x.open + {slip}::DOUBLE END AS far,
+      (CASE WHEN l.p > 0 THEN x.open + {slip}::DOUBLE ELSE x.open - {slip}::DOUBLE END) * abs(l.p) AS v,
       CASE WHEN l.p IS NULL THEN NULL WHEN x.trade = 0 THEN 'hold' WHEN x.trade * l.p > 0 THEN {lost} ELSE 'deal' END AS act
     FROM l{at} l JOIN x{at} x ON x.code = l.code AND x.i = l.i + 1))))),
 led{at} AS (SELECT x.code, x.day, x.open, x.trade, l.i, l.p AS position, l.m AS market_value, l.c AS cash, l.t AS total_asset FROM l{at} l JOIN x{at} x ON x.code = l.code AND x.i = l.i)"""
@@ -127,6 +127,17 @@ def _grid(fasts: tuple[int, ...], slows: tuple[int, ...]) -> str:
 
 _GRID = _grid((5, 10), (20, 30))
 
+_REPORT = (
+    _with(
+        BARS, _T, _ledger("d"), _RETURNS, _BENCH,
+        "wl AS (SELECT ret.code, ret.day, x, coalesce(b, 0.0) AS b, exp(sum(ln(greatest(1 + x, 1e-12))) OVER (PARTITION BY ret.code ORDER BY ret.day)) AS wealth FROM ret LEFT JOIN bench ON bench.day = ret.day)",
+        "dr AS (SELECT *, wealth / greatest(max(wealth) OVER (PARTITION BY code ORDER BY day), 1.0) - 1 AS drawdown FROM wl)",
+        "ag AS (SELECT code, count(*) AS days, arg_max(wealth, day) AS wealth, avg(x) AS mean, stddev_samp(x) AS sd, sqrt(avg(power(least(x, 0.0), 2))) AS down, min(drawdown) AS dd, avg(CAST(x > 0 AS INTEGER)) AS wins, covar_samp(x, b) AS cov, var_samp(b) AS v, avg(b) AS bm FROM dr GROUP BY code)",
+    )
+    + "SELECT code, days, round(wealth - 1, 5) + 0.0 AS cumulative_return, round(power(wealth, 252.0 / days) - 1, 5) + 0.0 AS yearly_growth, round(sd * sqrt(252.0), 5) + 0.0 AS volatility, round(mean / nullif(sd, 0) * sqrt(252.0), 5) + 0.0 AS sharpe, "
+    "round(mean / nullif(down, 0) * sqrt(252.0), 5) + 0.0 AS sortino, round(dd, 5) + 0.0 AS max_drawdown, round(wins, 5) + 0.0 AS win_rate, round(cov / nullif(v, 0), 5) + 0.0 AS beta, round((mean - cov / nullif(v, 0) * bm) * 252.0, 5) + 0.0 AS alpha FROM ag"
+)
+
 ORACLES = {
     "bars_daily": _with(BARS) + f"SELECT code, {D}, o / 1000.0::DOUBLE AS open, h / 1000.0::DOUBLE AS high, l / 1000.0::DOUBLE AS low, c / 1000.0::DOUBLE AS close FROM bars",
     "pct_change_open": _with(BARS) + f"SELECT code, {D}, round({CHANGE}, 6) + 0.0 AS open_pct_change FROM bars",
@@ -157,14 +168,7 @@ ORACLES = {
     "param_best": _GRID + "SELECT code, period_fast, period_slow, total_returns FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY total_returns DESC, period_fast, period_slow) AS k FROM grid) WHERE k = 1",
     "strategy_returns": _with(BARS, _T, _ledger("d"), _RETURNS) + f"SELECT code, {D}, round(x, 8) + 0.0 AS stra_pct_returns FROM ret",
     "benchmark_returns": _with(_BENCH) + f"SELECT {D}, round(b, 8) + 0.0 AS bench_pct_returns FROM bench",
-    "report_metrics": _with(
-        BARS, _T, _ledger("d"), _RETURNS, _BENCH,
-        "wl AS (SELECT ret.code, ret.day, x, coalesce(b, 0.0) AS b, exp(sum(ln(greatest(1 + x, 1e-12))) OVER (PARTITION BY ret.code ORDER BY ret.day)) AS wealth FROM ret LEFT JOIN bench ON bench.day = ret.day)",
-        "dr AS (SELECT *, wealth / greatest(max(wealth) OVER (PARTITION BY code ORDER BY day), 1.0) - 1 AS drawdown FROM wl)",
-        "ag AS (SELECT code, count(*) AS days, arg_max(wealth, day) AS wealth, avg(x) AS mean, stddev_samp(x) AS sd, sqrt(avg(power(least(x, 0.0), 2))) AS down, min(drawdown) AS dd, avg(CAST(x > 0 AS INTEGER)) AS wins, covar_samp(x, b) AS cov, var_samp(b) AS v, avg(b) AS bm FROM dr GROUP BY code)",
-    )
-    + "SELECT code, days, round(wealth - 1, 5) + 0.0 AS cumulative_return, round(power(wealth, 252.0 / days) - 1, 5) + 0.0 AS yearly_growth, round(sd * sqrt(252.0), 5) + 0.0 AS volatility, round(mean / nullif(sd, 0) * sqrt(252.0), 5) + 0.0 AS sharpe, "
-    "round(mean / nullif(down, 0) * sqrt(252.0), 5) + 0.0 AS sortino, round(dd, 5) + 0.0 AS max_drawdown, round(wins, 5) + 0.0 AS win_rate, round(cov / nullif(v, 0), 5) + 0.0 AS beta, round((mean - cov / nullif(v, 0) * bm) * 252.0, 5) + 0.0 AS alpha FROM ag",
+    "report_metrics": _REPORT,
     "account_view": _with(
         BARS, _T, _ledger("d"), "ch AS (SELECT *, CASE WHEN position <> coalesce(lag(position) OVER (PARTITION BY code ORDER BY day), 0) THEN i END AS turn FROM led)",
         "og AS (SELECT *, max(turn) OVER (PARTITION BY code ORDER BY day) AS since FROM ch)",
@@ -177,6 +181,20 @@ ORACLES = {
     )
     + "SELECT a.code, round(a.market_value, 5) + 0.0 AS market_value, round(a.position, 5) + 0.0 AS hold_vol, round(CASE WHEN a.position <> 0 THEN s.open END, 5) + 0.0 AS cost, round(a.open, 5) + 0.0 AS price, round(coalesce(a.daily, 0), 5) + 0.0 AS daily_profit_loss, "
     "round(a.market_value / nullif(a.total_asset, 0), 5) + 0.0 AS position_ratio, CASE WHEN a.position <> 0 THEN a.i - a.since + 1 ELSE 0 END AS hold_days FROM og a LEFT JOIN led s ON s.code = a.code AND s.i = a.since WHERE a.back = 1",
+    "feed_csv": _with(BARS) + f"SELECT code, {D}, o / 1000.0::DOUBLE AS open, c / 1000.0::DOUBLE AS close FROM bars",
+    "feed_csv_text": _with(BARS) + "SELECT code, CAST(day AS VARCHAR) || ' 00:00:00' AS date, c / 1000.0::DOUBLE AS close FROM bars",
+    "feed_folder": _with(BARS) + f"SELECT code, {D}, o / 1000.0::DOUBLE AS open, c / 1000.0::DOUBLE AS close FROM bars",
+    "feed_united": _with(BARS, _BENCH) + f"SELECT code, {D}, o / 1000.0::DOUBLE AS open, c / 1000.0::DOUBLE AS close FROM bars UNION ALL SELECT 'benchmark', {D}, NULL, close FROM bday",
+    "ledger_settings": _with(BARS, _T, _ledger("d", opening=1000000.0, fee=0.003, lot=200.0, slip=0.02, share=0.5)) + _show(),
+    "facade_macd": _with(BARS, SEEDS, MACD, MACD_TRADES, _ledger("c")) + _FINAL.replace("day), 4)", "day), 3)"),
+    "facade_report": _REPORT,
+    "param_lines": _GRID + "SELECT code, period_fast || '-' || period_slow AS pair, printf('%d-%d: final asset %.4f, total returns %.4f', period_fast, period_slow, total_returns + 100000, total_returns) AS line FROM grid",
+    "monthly_returns": _with(BARS, _T, _ledger("d"), _RETURNS) + "SELECT code, strftime(day, '%Y-%m') AS month, round(product(1 + x) - 1, 6) + 0.0 AS monthly_return, count(*) AS days FROM ret GROUP BY ALL",
+    "drawdowns": _with(
+        BARS, _T, _ledger("d"), "pk AS (SELECT code, day, total_asset, max(total_asset) OVER (PARTITION BY code ORDER BY day) AS peak FROM led)",
+        "ud AS (SELECT *, max(CASE WHEN total_asset >= peak THEN day END) OVER (PARTITION BY code ORDER BY day) AS peak_day FROM pk)",
+    )
+    + "SELECT code, CAST(peak_day AS VARCHAR) AS peak_day, CAST(max(day) AS VARCHAR) AS last_day, count(*) AS days, round(min(total_asset / peak - 1), 6) + 0.0 AS depth FROM ud WHERE total_asset < peak GROUP BY code, peak_day",
     "account_history": """
 WITH d AS (SELECT *, row_number() OVER (PARTITION BY account_id, date ORDER BY posted_at DESC NULLS LAST, total_asset DESC) AS k FROM qt_account), h AS (SELECT * FROM d WHERE k = 1)
 SELECT account_id, broker_id, CAST(CAST(date AS DATE) AS VARCHAR) AS day, round(total_asset, 4) + 0.0 AS total_asset, round(market_value, 4) + 0.0 AS market_value,

@@ -64,12 +64,25 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
     bars = table(spark, folder, "hs300etf_day")
-    return profile.column_profile(bars, R.find_stand_ins(bars))
+    return profile.column_profile(bars, stand_ins=dict.fromkeys(("open", "close"), R.find_stand_ins(bars)))
 
 
-def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+def p5_profile_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Every column of the bars, distinct values counted in full."""
+    bars = table(spark, folder, "hs300etf_day")
+    columns = ("code", "name", "date", "open", "high", "low", "close", "loaded_at")
+    p = profile.column_profile(bars, columns, stand_ins=dict.fromkeys(("open", "close"), R.find_stand_ins(bars)), exact=True)
+    return p.withColumn("null_rate", F.round("null_rate", 9))
+
+
+def p5_divergent(spark: SparkSession, folder: str) -> DataFrame:
+    """The changed loads with the mask most in excess and the share of rows."""
     bars = table(spark, folder, "hs300etf_day")
-    return profile.changed_columns(profile.divergent_loads(bars, R.find_stand_ins(bars)))
+    return profile.divergent_loads(bars, R.find_stand_ins(bars))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.changed_columns(p5_divergent(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_propagated, p2_found, p2_scored, p3_found, p3_regular, p4_found, p4_rolling, p4_rolling_quarter, p5_found, p5_profile)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_propagated, p2_found, p2_scored, p3_found, p3_regular, p4_found, p4_rolling, p4_rolling_quarter, p5_found, p5_divergent, p5_profile, p5_profile_exact)}

@@ -43,7 +43,32 @@ e AS (
   SELECT code, day, o, c, x, pv AS ov, px AS ox, coalesce(c, nv) AS ow, CASE WHEN c IS NOT NULL THEN x + 1 ELSE nx END AS oz, coalesce(o, pv) AS cv, CASE WHEN o IS NOT NULL THEN x ELSE px END AS cx, nv AS cw, nx AS cz
   FROM k WHERE o IS NULL OR c IS NULL)"""
 
+def _number_mask(v: str) -> str:
+    return f"regexp_replace(CASE WHEN {v} = 0 OR abs({v}) >= 0.001 AND abs({v}) < 1e7 THEN CAST({v} AS VARCHAR) ELSE rtrim(CAST(CAST({v} AS DECIMAL(38, 10)) AS VARCHAR), '0') END, '[0-9]', '9', 'g')"
+
+
+def _profile_part(f: str) -> str:
+    if f in ("code", "name"):
+        mask = f"regexp_replace({f}, '[0-8]', '9', 'g')"
+        for pattern, to in (("\\p{Han}+", "字"), ("\\p{Lu}+", "A"), ("\\p{Ll}+", "a"), ("\\s+", " ")):
+            mask = f"regexp_replace({mask}, '{pattern}', '{to}', 'g')"
+        return f"SELECT load_id, '{f}' AS field, CAST(NULL AS DOUBLE) AS number, {f} AS value, {mask} AS mask FROM hs300etf_day"
+    if f in ("date", "loaded_at"):
+        t = f"strftime({f}, '%Y-%m-%d %H:%M:%S')"
+        return f"SELECT load_id, '{f}', epoch_us({f}) / 1e6::DOUBLE, CAST({f} AS VARCHAR), CASE WHEN {t} LIKE '%00:00:00' THEN '9999-99-99 midnight' ELSE regexp_replace({t}, '[0-9]', '9', 'g') END FROM hs300etf_day"
+    lost = f" AND {f} NOT IN (SELECT v FROM stand_ins)" if f in ("open", "close") else ""
+    return f"SELECT load_id, '{f}', v, CAST(v AS VARCHAR), {_number_mask('v')} FROM (SELECT load_id, CASE WHEN isfinite({f}){lost} THEN {f} END AS v FROM hs300etf_day)"
+
+
 ORACLES = {
+    "p5_profile_exact": f"""WITH {STAND_INS},
+x AS ({" UNION ALL ".join(_profile_part(f) for f in ("code", "name", "date", "open", "high", "low", "close", "loaded_at"))}),
+m AS (SELECT field, mask, count(*) < 0.001 * sum(count(*)) OVER (PARTITION BY field) AS rare FROM x GROUP BY ALL),
+c AS (SELECT load_id, field, mask, count(*) AS n FROM x WHERE mask IS NOT NULL GROUP BY ALL),
+d AS (SELECT load_id, field, mask AS dominant_mask FROM c QUALIFY row_number() OVER (PARTITION BY load_id, field ORDER BY n DESC, mask DESC) = 1),
+v AS (SELECT c.load_id, c.field, sum(CASE WHEN m.rare THEN n ELSE 0 END) AS violations FROM c JOIN m ON m.field = c.field AND m.mask = c.mask GROUP BY ALL),
+g AS (SELECT load_id, field, count(*) AS rows, round(1 - count(value) / CAST(count(*) AS DOUBLE), 9) AS null_rate, min(number) AS least, max(number) AS largest, count(DISTINCT value) AS distinct_values FROM x GROUP BY ALL)
+SELECT g.*, d.dominant_mask, CAST(coalesce(v.violations, 0) AS BIGINT) AS violations FROM g LEFT JOIN d ON d.load_id IS NOT DISTINCT FROM g.load_id AND d.field = g.field LEFT JOIN v ON v.load_id IS NOT DISTINCT FROM g.load_id AND v.field = g.field""",
     "p1_propagated": f"""WITH {STAND_INS}, {CHAIN}
 SELECT code, CAST(day AS VARCHAR) AS day, round(coalesce(o, ov + (ow - ov) * (x - ox) / (oz - ox), ov, ow), 6) AS open, round(coalesce(c, cv + (cw - cv) * (x + 1 - cx) / (cz - cx), cv, cw), 6) AS close FROM e""",
     "p1_found": f"""WITH {STAND_INS}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -22,6 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="barloom-")
+        discard_at_end(spark, folder)
     sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -33,10 +36,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows of df, computed now and once, read from reliable storage afterwards."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def discard_at_end(spark: SparkSession, *paths: str) -> None:
+    """These folders are deleted when the application ends."""
+    sc = spark.sparkContext
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -46,7 +51,9 @@ def ship_code(spark: SparkSession) -> None:
     if getattr(sc, "_barloom_shipped", False):
         return
     home = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="barloom-"), "barloom.zip")
+    folder = tempfile.mkdtemp(prefix="barloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "barloom.zip")
     with zipfile.ZipFile(path, "w") as z:
         for folder, _, files in os.walk(home):
             for f in sorted(files):

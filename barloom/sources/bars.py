@@ -56,7 +56,8 @@ def union_bars(*frames: DataFrame) -> DataFrame:
 
 
 def read_bars_folder(spark: SparkSession, folder: str, format: str = "csv", header: Iterable[str] = ("date", "open", "close")) -> DataFrame:  # noqa: A002
-    """All bar files of a folder; where the files have no code, it is the file's name."""
+    """All bar files of a folder; where the files have no code, it is the file's name, or, of a folder with
+    one folder named code=... for each, the name of that (with ``code`` in the header)."""
     header = list(header)
     if format == "csv":
         # columns go by position: files whose own header names others, or another order, are refused
@@ -68,6 +69,13 @@ def read_bars_folder(spark: SparkSession, folder: str, format: str = "csv", head
     return no_nan(raw)
 
 
+def write_csv_bars(bars: DataFrame, path: str, by_code: bool = False) -> str:
+    """The bars as CSV files with a header; ``by_code``: in a folder for each code."""
+    out = bars.write.mode("overwrite").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+    (out.partitionBy("code") if by_code else out).csv(path)
+    return path
+
+
 def no_nan(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in all floating columns: NaN would compare as the largest value."""
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")}) if any(t in ("double", "float") for _, t in df.dtypes) else df

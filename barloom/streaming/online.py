@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barloom.operators.ledger import RULES, Settings, striker
-from barloom.session import shared_folder
+from barloom.session import discard_at_end, shared_folder
 
 OUT = "code string, day date, status string, signal int, trade int, position double, market_value double, cash double, total_asset double"
 _STATE = "last_day date, last_open double, bars long, closes array<long>, side int, known boolean, pending int, started boolean, lost boolean, units double, worth double, cash double, total double"
@@ -105,8 +105,10 @@ def run_online(bars: DataFrame, fast: int = 5, slow: int = 20, settings: Setting
 def replay_online(bars: DataFrame, fast: int = 5, slow: int = 20, settings: Settings | None = None, rules: str = "d") -> DataFrame:
     """The rows of run_online for a finished table of bars, put through a stream that ends with it.
 
-    Input, progress and output of the stream lie in the shared folder."""
+    The stream runs when this is called.  Input, progress and output lie in the shared folder until the
+    application ends."""
     spark, at = bars.sparkSession, f"{shared_folder(bars.sparkSession)}/online-{uuid.uuid4().hex}"
+    discard_at_end(spark, at)
     bars.select("code", "day", "o", "c").write.parquet(f"{at}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{at}/in").schema).parquet(f"{at}/in")
     query = run_online(stream, fast, slow, settings, rules).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/progress").trigger(availableNow=True).start()

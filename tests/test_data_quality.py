@@ -320,11 +320,13 @@ def test_rolling_equals_pandas(spark):
         rolling.shifted_blocks(0)
 
 
-# ---- p5 ----------------------------------------------------------------------
+# ---- p5
 def test_masks(spark):
-    df = spark.createDataFrame([(-12.5, dt.datetime(2020, 1, 1)), (100.123, dt.datetime(2020, 1, 1, 15, 2)), (None, None)], "v double, t timestamp_ntz")
+    df = spark.createDataFrame([(-12.5, dt.datetime(2020, 1, 1)), (100.123, dt.datetime(2020, 1, 1, 15, 2)), (12_345_678.25, None), (0.00012, None), (0.0, None), (None, None)], "v double, t timestamp_ntz")
     got = df.select(profile.value_mask(F.col("v")), profile.fraction_mask(F.col("v")), profile.time_mask(F.col("t"))).collect()
-    assert [tuple(r) for r in got] == [("-99.9", ".9", "midnight"), ("999.999", ".999", "15h"), (None, None, None)]
+    assert [tuple(r) for r in got] == [("-99.9", ".9", "midnight"), ("999.999", ".999", "15h"), ("99999999.99", ".99", None), ("9.99999", ".99999", None), ("9.9", ".9", None), (None, None, None)]
+    texts = spark.createDataFrame([("Fund 012",), ("红利ETF01",), ("a\t b-C",), ("",), ("Ångström",), (None,)], "s string")
+    assert [r[0] for r in texts.select(profile.text_mask(F.col("s"))).collect()] == ["Aa 999", "字A99", "a a-A", "", "Aa", None]
 
 
 def test_changed_loads_are_found_and_a_changed_mix_is_not(spark):
@@ -342,15 +344,49 @@ def test_changed_loads_are_found_and_a_changed_mix_is_not(spark):
             put(rows, k, open=round(r[4], 1))
     rows = [r for r in rows if not (r[8] == 6 and r[1] > "100004")]  # another mix
     df = bars(spark, rows)
-    assert pairs(profile.changed_columns(profile.divergent_loads(df, [])), "load_id", "field") == [(2, "open"), (3, "close"), (4, "date"), (5, "open")]
+    found = profile.divergent_loads(df, [])
+    assert pairs(found, "load_id", "field", "mask") == [(2, "open", "missing"), (3, "close", "e+2"), (4, "date", "7h"), (5, "open", ".9")]
+    shares = {r["load_id"]: r["share"] for r in found.collect()}
+    assert shares[2] == pytest.approx(0.3, abs=0.05) and shares[3] == pytest.approx(0.4, abs=0.05) and shares[4] > 0.9 and shares[5] == pytest.approx(0.6, abs=0.1)
     assert profile.divergent_loads(df.limit(0), []).count() == 0
     assert profile.divergent_loads(df.where("load_id = 1"), []).count() == 0
+    lost = df.withColumn("load_id", F.when(F.col("load_id") != 4, F.col("load_id")))
+    assert pairs(profile.changed_columns(profile.divergent_loads(lost, [])).where("field = 'date'"), "load_id", "field") == [(None, "date")]
+
+
+def test_divergence_equals_the_plain_sum():
+    rng = np.random.default_rng(6)
+    seen = rng.integers(0, 40, (5, 6)).astype(float)
+    stratum, mask, pool = np.array([0, 0, 0, 1, 1, 1]), np.array([0, 1, 2, 0, 1, 3]), np.array([True, True, False, True, True])
+    share, most = profile.divergence(seen, stratum, mask, pool)
+    for k in range(5):
+        others = [j for j in range(5) if pool[j] and j != k]
+        expected, got = np.zeros(4), np.zeros(4)
+        for c in range(6):
+            mine = seen[k, stratum == stratum[c]].sum()
+            expected[mask[c]] += mine * seen[others, c].sum() / seen[others][:, stratum == stratum[c]].sum()
+            got[mask[c]] += seen[k, c]
+        chance = np.sqrt(2 / np.pi * expected * (1 - expected / got.sum())).sum() / 2
+        assert share[k] == pytest.approx((np.abs(got - expected).sum() / 2 - chance) / got.sum()) and most[k] == np.argmax(got - expected)
+
+
+def test_loads_of_chance_do_not_diverge_whatever_their_size():
+    rng = np.random.default_rng(9)
+    sizes = np.array([30, 60, 100, 1000, 20_000] * 40)
+    seen = np.stack([rng.multinomial(n, [0.5, 0.3, 0.15, 0.05]) for n in sizes]).astype(float)
+    share, _ = profile.divergence(seen, np.zeros(4, int), np.arange(4), np.ones(len(sizes), bool))
+    assert abs(share.mean()) < 0.01 and np.mean(share > profile.LEAST_SHARE) < 0.06 and not np.any(share[sizes >= 1000] > 0.02)
 
 
 def test_profile_counts(spark):
     rows = [bar(1, "100000", 0, 1.5, None), bar(2, None, 1, float("nan"), 2.25), bar(2, None, 1, float("nan"), 2.25), bar(3, "x", None, 99.0, -1.0)]
-    out = {(r["load_id"], r["field"]): r for r in profile.column_profile(bars(spark, rows), [99.0]).collect()}
-    o, c, d = out[(1, "open")], out[(1, "close")], out[(1, "date")]
-    assert (o["rows"], o["null_rate"], o["distinct_values"], o["least"], o["largest"]) == (4, 0.75, 1, 1.5, 1.5)
-    assert (c["null_rate"], c["distinct_values"], c["least"], c["dominant_mask"]) == (0.25, 2, -1.0, "9.99")
-    assert d["null_rate"] == 0.25 and d["dominant_mask"] == "9999-99-99 99:99:99"
+    df = bars(spark, rows).withColumn("field", F.lit("clash")).withColumn("mask", F.lit(1)).withColumn("a.b", F.lit("Q 1"))
+    for exact in (False, True):
+        out = {(r["load_id"], r["field"]): r for r in profile.column_profile(df, ("open", "close", "date", "code", "a.b", "name"), stand_ins={"open": [99.0]}, exact=exact).collect()}
+        o, c, d, code = out[(1, "open")], out[(1, "close")], out[(1, "date")], out[(1, "code")]
+        assert (o["rows"], o["null_rate"], o["distinct_values"], o["least"], o["largest"]) == (4, 0.75, 1, 1.5, 1.5)
+        assert (c["null_rate"], c["distinct_values"], c["least"], c["dominant_mask"]) == (0.25, 2, -1.0, "9.99")
+        assert d["null_rate"] == 0.25 and d["dominant_mask"] == "9999-99-99 99:99:99"
+        assert (code["null_rate"], code["distinct_values"], code["dominant_mask"], code["least"]) == (0.5, 2, "a", None)
+        assert out[(1, "a.b")]["dominant_mask"] == "A 9" and (out[(1, "name")]["null_rate"], out[(1, "name")]["distinct_values"], out[(1, "name")]["dominant_mask"]) == (1.0, 0, None)
+    assert profile.column_profile(df.limit(0)).count() == 0
