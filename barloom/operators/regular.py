@@ -46,9 +46,11 @@ def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open"
     (bt, bv), (at, av), (ft, fv), (lt, lv) = pick(False, pre), pick(True, post), pick(True), pick(False)
     daily = rows.groupBy("code", "day").agg(bt.alias("bt"), bv.alias("bv"), at.alias("at"), av.alias("av"), ft.alias("ft"), fv.alias("fv"), lt.alias("lt"), lv.alias("lv"))
     daily = daily.join(F.broadcast(days), "day")
-    span = daily.groupBy("code").agg(F.min("day_no").alias("lo"), F.max("day_no").alias("hi"))
-    grid = span.select("code", F.explode(F.sequence("lo", "hi")).alias("day_no"))
-    merged = grid.join(daily.drop("day").withColumn("has", F.lit(True)), ["code", "day_no"], "left")
+    # the grid: each day with a reading opens the open days up to the next one
+    until = F.coalesce(F.lead("day_no").over(Window.partitionBy("code").orderBy("day_no")) - 1, F.col("day_no"))
+    merged = daily.drop("day").withColumn("until", until).withColumnRenamed("day_no", "from_no").withColumn("day_no", F.explode(F.sequence("from_no", "until")))
+    has = F.col("day_no") == F.col("from_no")
+    merged = merged.select("code", "day_no", has.alias("has"), *(F.when(has, F.col(c)).alias(c) for c in ("bt", "bv", "at", "av", "ft", "fv", "lt", "lv")))
     forward = Window.partitionBy("code").orderBy("day_no").rowsBetween(Window.unboundedPreceding, -1)
     backward = Window.partitionBy("code").orderBy(F.desc("day_no")).rowsBetween(Window.unboundedPreceding, -1)
     # the two sides, as of the grid time: from other days, both as running aggregates, then from the day itself
@@ -63,7 +65,7 @@ def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open"
     line = F.when(F.col("pt") == F.col("nt"), F.col("pv")).when(right > left, F.col("pv") + (F.col("nv") - F.col("pv")) * (here - left) / (right - left))
     gap = F.when(F.col("nn").isNotNull() & F.col("pn").isNotNull(), F.greatest(F.col("nn") - F.col("pn") - 1, F.lit(0)))  # days without a value between the two neighbours
     near = gap <= gap_limit_days
-    seen = F.coalesce(F.col("has"), F.lit(False))
+    seen = F.col("has")
     status = F.when(seen & F.col("ft").isNotNull(), "observed").when(seen, "observed_without_value").when(near, "filled").otherwise("gap")
     value_at = F.when(near, line)
     return sided.select("code", F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce(value_at, F.when(F.col("ft").isNotNull(), F.coalesce("bv", "av"))).alias("value"), status.alias("status"), gap.alias("gap_days"))

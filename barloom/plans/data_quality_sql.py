@@ -63,11 +63,11 @@ def _profile_part(f: str) -> str:
 ORACLES = {
     "p5_profile_exact": f"""WITH {STAND_INS},
 x AS ({" UNION ALL ".join(_profile_part(f) for f in ("code", "name", "date", "open", "high", "low", "close", "loaded_at"))}),
-m AS (SELECT field, mask, count(*) < 0.001 * sum(count(*)) OVER (PARTITION BY field) AS rare FROM x GROUP BY ALL),
+m AS (SELECT field, mask, count(*) < 0.001 * sum(count(*)) OVER (PARTITION BY field) AS rare FROM x GROUP BY field, mask),
 c AS (SELECT load_id, field, mask, count(*) AS n FROM x WHERE mask IS NOT NULL GROUP BY ALL),
 d AS (SELECT load_id, field, mask AS dominant_mask FROM c QUALIFY row_number() OVER (PARTITION BY load_id, field ORDER BY n DESC, mask DESC) = 1),
 v AS (SELECT c.load_id, c.field, sum(CASE WHEN m.rare THEN n ELSE 0 END) AS violations FROM c JOIN m ON m.field = c.field AND m.mask = c.mask GROUP BY ALL),
-g AS (SELECT load_id, field, count(*) AS rows, round(1 - count(value) / CAST(count(*) AS DOUBLE), 9) AS null_rate, min(number) AS least, max(number) AS largest, count(DISTINCT value) AS distinct_values FROM x GROUP BY ALL)
+g AS (SELECT load_id, field, count(*) AS rows, round(CAST(count(*) - count(value) AS DOUBLE) / count(*), 9) AS null_rate, min(number) AS least, max(number) AS largest, count(DISTINCT value) AS distinct_values FROM x GROUP BY ALL)
 SELECT g.*, d.dominant_mask, CAST(coalesce(v.violations, 0) AS BIGINT) AS violations FROM g LEFT JOIN d ON d.load_id IS NOT DISTINCT FROM g.load_id AND d.field = g.field LEFT JOIN v ON v.load_id IS NOT DISTINCT FROM g.load_id AND v.field = g.field""",
     "p1_propagated": f"""WITH {STAND_INS}, {CHAIN}
 SELECT code, CAST(day AS VARCHAR) AS day, round(coalesce(o, ov + (ow - ov) * (x - ox) / (oz - ox), ov, ow), 6) AS open, round(coalesce(c, cv + (cw - cv) * (x + 1 - cx) / (cz - cx), cv, cw), 6) AS close FROM e""",

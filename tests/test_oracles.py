@@ -42,6 +42,16 @@ def test_runs(spark, name):
     assert df.count() > 0 and not any(t == "void" for _, t in df.dtypes)
 
 
+def test_the_core_is_there_if_texts_cannot_be_imported(monkeypatch):
+    import importlib
+
+    import __spark_entry__ as e
+
+    real = importlib.import_module
+    monkeypatch.setattr(e.importlib, "import_module", lambda name: (_ for _ in ()).throw(ImportError("ahocorasick")) if name == "barloom.llm.queries" else real(name))
+    assert set(e.queries()) == set(registry.QUERIES) and set(e.oracle_sql()) == set(registry.ORACLES)
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pandas as pd
 import pytest
 
@@ -27,6 +29,37 @@ def test_folder_takes_code_from_file_name_and_feeds_unite(spark, tmp_path):
     assert bars.union_bars(df, feed).count() == 3
 
 
+def test_folder_refuses_another_order_of_columns(spark, tmp_path):
+    (tmp_path / "000001.csv").write_text("date,close,open\n2020-01-02 00:00:00,2,1.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        bars.read_bars_folder(spark, str(tmp_path)).collect()
+
+
+def test_written_folders_keep_their_codes(spark, tmp_path):
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 2), "000300", 1.5, None), (dt.datetime(2020, 1, 3), "510300", None, 2.5)], "date timestamp_ntz, code string, open double, close double")
+    path = bars.write_csv_bars(df, str(tmp_path / "x"), by_code=True)
+    back = bars.read_bars_folder(spark, path, header=("date", "open", "close", "code"))
+    assert sorted(map(tuple, back.select("code", "open", "close").collect())) == [("000300", 1.5, None), ("510300", None, 2.5)]
+
+
+def test_prices_are_made_sound(spark):
+    nan = float("nan")
+    rows = [
+        (1, 10.0, 11.0, 9.0, 10.5), (2, 99.0, 11.0, 9.0, 10.5), (3, 10.0, None, None, 10.5), (4, 10.0, None, None, 99.0), (5, None, 11.0, 9.0, nan), (6, -1.0, nan, None, None), (7, 10.0, 30.0, 9.0, None), (8, None, None, None, None),
+    ]
+    got = {r["k"]: r for r in bars.sound_prices(spark.createDataFrame(rows, "k int, open double, high double, low double, close double")).collect()}
+    assert {k: (r["open"], r["high"], r["low"], r["close"], r["clean"]) for k, r in got.items()} == {
+        1: (10.0, 11.0, 9.0, 10.5, True), 2: (10.5, 11.0, 9.0, 10.5, False), 3: (10.0, 10.5, 10.0, 10.5, False), 5: (10.0, 11.0, 9.0, 10.0, False),
+    }
+
+
+def test_no_day_with_a_sound_price_is_lost(spark, sf):
+    raw = bars.sound_prices(spark.read.parquet(f"{sf}/hs300etf_day.parquet"))
+    days = spark.read.parquet(f"{sf}/trade_calendar.parquet").where("is_open = 1").selectExpr("to_date(cal_date) as day")
+    raw = raw.selectExpr("code", "to_date(date) as day").join(days, "day", "left_semi").join(spark.read.parquet(f"{sf}/etf_info.parquet"), "code", "left_semi")
+    assert daily_bars(spark, sf).count() == raw.distinct().count()
+
+
 def test_report_page(spark, tmp_path):
     p = bars.write_report(spark.createDataFrame([("<a>", 1.0)], "code string, x double"), str(tmp_path / "r.html"), "t & t")
     page = open(p, encoding="utf-8").read()
