@@ -60,8 +60,8 @@ def regular_series(readings: DataFrame, calendar: DataFrame, value: str = "open"
     sided = sided.join(F.broadcast(days), "day_no")
     own = lambda t, mine, other: F.when(F.col(t).isNotNull(), F.col(mine)).otherwise(F.col(other))
     sided = sided.select("code", "day", "has", "ft", "bv", "av", own("bt", "bt", "pt").alias("pt"), own("bt", "bv", "pv").alias("pv"), own("bt", "day_no", "pn").alias("pn"), own("at", "at", "nt").alias("nt"), own("at", "av", "nv").alias("nv"), own("at", "day_no", "nn").alias("nn"))
-    seconds = lambda c: F.unix_micros(c.cast("timestamp")) / F.lit(1e6)
-    here, left, right = seconds(grid_time), seconds(F.col("pt")), seconds(F.col("nt"))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    here, left, right = micros(grid_time), micros(F.col("pt")), micros(F.col("nt"))
     line = F.when(F.col("pt") == F.col("nt"), F.col("pv")).when(right > left, F.col("pv") + (F.col("nv") - F.col("pv")) * (here - left) / (right - left))
     gap = F.when(F.col("nn").isNotNull() & F.col("pn").isNotNull(), F.greatest(F.col("nn") - F.col("pn") - 1, F.lit(0)))  # days without a value between the two neighbours
     near = gap <= gap_limit_days

@@ -39,7 +39,7 @@ def _series(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_regular(spark: SparkSession, folder: str) -> DataFrame:
-    return _series(spark, folder).withColumn("value", F.round("value", 6))
+    return _series(spark, folder).withColumn("value", F.round("value", 9))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -88,7 +88,7 @@ a AS (SELECT g.*, p.date AS pt, p.v AS pv, p.no AS pn, p.day AS pd FROM g ASOF L
 m AS (SELECT a.*, n.date AS nt, n.v AS nv, n.no AS nn, n.day AS nd, CASE WHEN n.no IS NOT NULL AND a.pn IS NOT NULL THEN greatest(n.no - a.pn - 1, 0) END AS gap FROM a ASOF LEFT JOIN u n ON n.code = a.code AND n.date >= a.tick)
 SELECT m.code, CAST(m.day AS VARCHAR) AS day, CAST(gap AS INTEGER) AS gap_days,
   CASE WHEN s.k > 0 THEN 'observed' WHEN s.k = 0 THEN 'observed_without_value' WHEN gap <= 5 THEN 'filled' ELSE 'gap' END AS status,
-  round(CASE WHEN gap <= 5 THEN CASE WHEN pt = nt THEN pv ELSE pv + (nv - pv) * (epoch_us(tick) - epoch_us(pt)) / CAST(epoch_us(nt) - epoch_us(pt) AS DOUBLE) END WHEN pd = m.day THEN pv WHEN nd = m.day THEN nv END, 6) AS value
+  round(CASE WHEN gap <= 5 THEN CASE WHEN pt = nt THEN pv ELSE pv + (nv - pv) * (epoch_us(tick) - epoch_us(pt)) / CAST(epoch_us(nt) - epoch_us(pt) AS DOUBLE) END WHEN pd = m.day THEN pv WHEN nd = m.day THEN nv END, 9) AS value
 FROM m LEFT JOIN seen s ON s.code = m.code AND s.day = m.day""",
     "p4_rolling_quarter": f"""WITH {STAND_INS}, {READINGS}, {ROLLING}
 SELECT code, CAST(day AS VARCHAR) AS day, round(coalesce(sum(s) OVER p90, 0), 3) AS total_90, round(coalesce(sum(s) OVER p250, 0), 3) AS total_250, CAST(coalesce(sum(n) OVER p90, 0) AS INTEGER) AS n_90, CAST(coalesce(sum(n) OVER p250, 0) AS INTEGER) AS n_250
