@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 PRICES = ("open", "high", "low", "close")
 #: A bar's high is at most this many times its low, and its prices lie within that range but for one in a hundred.
 MOST_RANGE = 1.5
+#: Beyond any price, and below NaN and infinity.
+MOST_PRICE = 1e300
 
 
 def _schema(columns: Iterable[str], date_type: T.DataType) -> T.StructType:
@@ -87,17 +89,17 @@ def sound_prices(bars: DataFrame) -> DataFrame:
     A range counts if its high is at least its low and at most MOST_RANGE times as much; a price, if it is
     positive and within the range but for one in a hundred or, where there is no range, within MOST_RANGE
     of the other price.  What is not sound is taken from the other price, then from the middle of the
-    range; a missing range is that of the two prices.  Bars with nothing sound leave."""
-    positive = lambda c: F.when((F.col(c) > 0) & ~F.isnan(c), F.col(c))
-    low, high, open_, close = (positive(c) for c in ("low", "high", "open", "close"))
-    ranged = F.coalesce((high >= low) & (high <= MOST_RANGE * low), F.lit(False))
-    rows = bars.withColumns({"_r": ranged, "_l": F.when(ranged, low), "_h": F.when(ranged, high), "_o": open_, "_c": close})
-    near = (F.col("_o") <= MOST_RANGE * F.col("_c")) & (F.col("_c") <= MOST_RANGE * F.col("_o"))
-    sound = lambda c: F.when(F.when(F.col("_r"), F.col(c).between(0.99 * F.col("_l"), 1.01 * F.col("_h"))).otherwise(near), F.col(c))
-    rows = rows.withColumns({"_o": sound("_o"), "_c": sound("_c")})
+    range; a missing range is that of the two prices.  Bars with nothing sound have null prices."""
+    low, high, open_, close = (F.col(c) for c in ("low", "high", "open", "close"))
+    # NaN is above all numbers: comparisons with both sides leave it out
+    ranged = F.coalesce((low > 0) & (low < MOST_PRICE) & (high >= low) & (high <= MOST_RANGE * low), F.lit(False))
+    near = (open_ > 0) & (close > 0) & (open_ < MOST_PRICE) & (close < MOST_PRICE) & (open_ <= MOST_RANGE * close) & (close <= MOST_RANGE * open_)
+    within = lambda c: F.when(F.col("_r"), c.between(0.99 * low, 1.01 * high)).otherwise(near)
+    rows = bars.withColumn("_r", ranged)
+    rows = rows.withColumns({"_o": F.when(within(open_), open_), "_c": F.when(within(close), close), "_l": F.when(F.col("_r"), low), "_h": F.when(F.col("_r"), high)})
     middle = (F.col("_l") + F.col("_h")) / 2
     rows = rows.withColumns({"clean": F.col("_r") & F.col("_o").isNotNull() & F.col("_c").isNotNull(), "open": F.coalesce("_o", "_c", middle), "close": F.coalesce("_c", "_o", middle)})
-    rows = rows.where("open is not null").withColumns({"low": F.coalesce("_l", F.least("open", "close")), "high": F.coalesce("_h", F.greatest("open", "close"))})
+    rows = rows.withColumns({"low": F.coalesce("_l", F.least("open", "close")), "high": F.coalesce("_h", F.greatest("open", "close"))})
     return rows.drop("_r", "_l", "_h", "_o", "_c")
 
 
@@ -112,11 +114,11 @@ def daily_bars(spark: SparkSession, folder: str) -> DataFrame:
     listed = spark.read.parquet(f"{folder}/etf_info.parquet").select("code")
     own = sound_prices(bars.where("code is not null and date is not null")).withColumn("day", F.to_date("date")).join(F.broadcast(days), "day", "left_semi").join(listed, "code", "left_semi")
     # one number to order by, so that the aggregate can hash: clean first, then the time, then the bar
-    number = "cast({} as decimal(38, 0))".format
-    order = F.expr(f"{number('cast(clean as int)')} * {number('1' + 36 * '0')} + {number('unix_micros(cast(date as timestamp))')} * {number('1' + 19 * '0')} + bar_id")
+    moment = F.unix_micros(F.col("date").cast("timestamp")) + F.when(F.col("clean"), F.lit(1 << 60)).otherwise(F.lit(0))
+    order = F.when(F.col("open").isNotNull(), (moment.cast("decimal(19, 0)") * F.lit("1" + 19 * "0").cast("decimal(20, 0)") + F.col("bar_id")).cast("decimal(38, 0)"))
+    last = own.withColumn("order", order).groupBy("code", "day").agg(*(F.max_by(c, "order").alias(c) for c in PRICES))
     whole = {k: F.round(F.col(c) * 1000).cast("long") for k, c in zip("ohlc", PRICES, strict=True)}
-    rows = own.select("code", "day", order.cast("decimal(38, 0)").alias("order"), *(x.alias(k) for k, x in whole.items()))
-    return rows.groupBy("code", "day").agg(*(F.max_by(k, "order").alias(k) for k in "ohlc"))
+    return last.where("open is not null").select("code", "day", *(x.alias(k) for k, x in whole.items()))
 
 
 def benchmark(spark: SparkSession, folder: str) -> DataFrame:

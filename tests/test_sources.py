@@ -45,16 +45,16 @@ def test_written_folders_keep_their_codes(spark, tmp_path):
 def test_prices_are_made_sound(spark):
     nan = float("nan")
     rows = [
-        (1, 10.0, 11.0, 9.0, 10.5), (2, 99.0, 11.0, 9.0, 10.5), (3, 10.0, None, None, 10.5), (4, 10.0, None, None, 99.0), (5, None, 11.0, 9.0, nan), (6, -1.0, nan, None, None), (7, 10.0, 30.0, 9.0, None), (8, None, None, None, None),
+        (1, 10.0, 11.0, 9.0, 10.5), (2, 99.0, 11.0, 9.0, 10.5), (3, 10.0, None, None, 10.5), (4, 10.0, None, None, 99.0), (5, None, 11.0, 9.0, nan), (6, -1.0, nan, None, None), (7, 10.0, 30.0, 9.0, None), (8, None, None, None, None), (9, nan, nan, nan, nan),
     ]
-    got = {r["k"]: r for r in bars.sound_prices(spark.createDataFrame(rows, "k int, open double, high double, low double, close double")).collect()}
+    got = {r["k"]: r for r in bars.sound_prices(spark.createDataFrame(rows, "k int, open double, high double, low double, close double")).where("open is not null").collect()}
     assert {k: (r["open"], r["high"], r["low"], r["close"], r["clean"]) for k, r in got.items()} == {
         1: (10.0, 11.0, 9.0, 10.5, True), 2: (10.5, 11.0, 9.0, 10.5, False), 3: (10.0, 10.5, 10.0, 10.5, False), 5: (10.0, 11.0, 9.0, 10.0, False),
     }
 
 
 def test_no_day_with_a_sound_price_is_lost(spark, sf):
-    raw = bars.sound_prices(spark.read.parquet(f"{sf}/hs300etf_day.parquet"))
+    raw = bars.sound_prices(spark.read.parquet(f"{sf}/hs300etf_day.parquet")).where("open is not null")
     days = spark.read.parquet(f"{sf}/trade_calendar.parquet").where("is_open = 1").selectExpr("to_date(cal_date) as day")
     raw = raw.selectExpr("code", "to_date(date) as day").join(days, "day", "left_semi").join(spark.read.parquet(f"{sf}/etf_info.parquet"), "code", "left_semi")
     assert daily_bars(spark, sf).count() == raw.distinct().count()
