@@ -114,9 +114,9 @@ _WEIGHTS, _CHECKS = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2), "10X9
 
 _STREET_EN = r"(?:Road|Street|Lane|Avenue|Close|Terrace|Drive|Court|Square|Crescent|Way|Place|Row|Gardens|Mews|Quay|Parade|Boulevard|Rd|St|Ave|Ln|Dr|Blvd)\b\.?"
 _ADDRESS_EN = re.compile(
-    rf"(?<![\w.])(?:(?:Flat|Apt|Apartment|Unit|Suite|Room|No\.?|Number)\s?\d+[A-Za-z]?,?\s+)?\d{{1,5}}[A-Za-z]?,?\s(?:[A-Z][\w'’\-]+\s){{1,3}}{_STREET_EN}"
-    rf"(?:,\s(?:Apt|Flat|Room|Unit|Suite|Apartment)\.?\s?\d+[A-Za-z]?)?(?:,\s[A-Z][\w\-]+(?:\s(?=[A-Z])[A-Z][\w\-]+)?(?:\s\d{{5}}(?!\d))?)?"
-    rf"|(?<![\w.])No\.?\s?\d{{1,5}}[A-Za-z]?,?\s(?:[A-Z][\w'’\-]+\s){{1,3}}{_STREET_EN}(?:,\s(?:Apt|Flat|Room|Unit|Suite)\.?\s?\d+[A-Za-z]?)?")
+    rf"(?<![A-Za-z0-9_.])(?:(?:Flat|Apt|Apartment|Unit|Suite|Room|No\.?|Number)\s?\d+[A-Za-z]?,?\s+)?\d{{1,5}}[A-Za-z]?,?\s(?:[A-Z][A-Za-z0-9'’\-]+\s){{1,3}}{_STREET_EN}"
+    rf"(?:,\s(?:Apt|Flat|Room|Unit|Suite|Apartment)\.?\s?\d+[A-Za-z]?)?(?:,\s[A-Z][A-Za-z\-]+(?:\s(?=[A-Z])[A-Z][A-Za-z\-]+)?(?:\s\d{{5}}(?!\d))?)?"
+    rf"|(?<![A-Za-z0-9_.])No\.?\s?\d{{1,5}}[A-Za-z]?,?\s(?:[A-Z][A-Za-z0-9'’\-]+\s){{1,3}}{_STREET_EN}(?:,\s(?:Apt|Flat|Room|Unit|Suite)\.?\s?\d+[A-Za-z]?)?")
 _ADDRESS_AROUND = 60
 _REGION = rf"(?:[{_HAN}]{{2,3}}(?:省|自治区))?(?:[{_HAN}]{{2,3}}(?:市|州|盟))?(?:[{_HAN}]{{2,3}}(?:区|县|旗|镇|乡))?"
 _STREET_ZH = re.compile(rf"(?P<road>[{_HAN}]{{1,3}}?(?:大道|胡同|路|街|巷|弄))(?P<no>\s?\d{{1,5}}\s?(?:号|弄))(?P<rest>(?:\s?\d{{1,4}}\s?(?:栋|幢|号楼|座|单元|室|楼|层|号))*)")
@@ -229,8 +229,9 @@ class Finder:
                 found.add((0, m.start(), m.end(), "email"))
 
     def _business(self, low, a):
-        before = low[max(0, a - 14) : a]
-        return any(c in before for c in NO_PERSON_CUES)
+        """Within the clause before, the number is said to be one of business."""
+        clause = re.split(r"[。，；！？.,;!?\n]", low[max(0, a - 14) : a])[-1]
+        return any(c in clause for c in NO_PERSON_CUES)
 
     def _id_cue(self, text, low, a, b, found):
         """The first identity number within a few words behind the cue, or else the last one before it;

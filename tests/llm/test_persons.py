@@ -36,6 +36,9 @@ CASES = [
     ("Dr. K. O'Marrin disagreed with the grid", [("name", "K. O'Marrin")]),
     ("on leave: HEXWATER, Kerrin (back)", [("name", "HEXWATER, Kerrin")]),
     ("thanks to corwin hexwater for the bars", [("name", "corwin hexwater")]),
+    ("账单寄到82 Hopyard Terrace, Eastmere 93109 问", [("address", "82 Hopyard Terrace, Eastmere 93109")]),
+    ("客户住在Flat 21, 163 Bellfounder Rd., Wexcombe附近。", [("address", "Flat 21, 163 Bellfounder Rd., Wexcombe")]),
+    ("账户撤回委托。 （0086-12563455492，周末勿扰）", [("phone", "0086-12563455492")]),
     ("I live at 12 Elm Way, Boston", [("address", "12 Elm Way, Boston")]),
     ("the sample is too small W. Hexwater女士已签字", [("name", "W. Hexwater")]),
     ("Kestrel Ridge desk said no; the Salt Grove account called", []),
