@@ -131,3 +131,43 @@ def test_one_instrument_alone_equals_its_part_of_all(spark, seed):
     both = signals.average_cross(df.orderBy(F.rand(seed)), 3, 7).where("code = '1'")
     alone = signals.average_cross(df.where("code = '1'"), 3, 7)
     assert sorted(map(str, both.collect())) == sorted(map(str, alone.collect()))
+
+
+def brute_returns(o, c, fast, slow):
+    """One back-test under rules d, row by row."""
+    if len(o) <= slow:
+        return None
+    mean = lambda t, n: sum(c[t - n + 1 : t + 1]) * (fast * slow // n)  # noqa: E731  the averages as whole numbers
+    side = {t: np.sign(mean(t, fast) - mean(t, slow)) for t in range(slow - 1, len(o))}
+    signal = {t: 1 if side[t - 1] <= 0 < side[t] else -1 if side[t] < 0 <= side[t - 1] else 0 for t in range(slow, len(o))}
+    held, worth, cash = 0.0, 0.0, 100_000.0
+    for t in range(slow + 1, len(o)):
+        trade, price = signal[t - 1], o[t] / 1000
+        if trade and trade * held <= 0:
+            cash += worth
+            own = price + 0.01 * trade
+            held = trade * (cash * 0.998 / own // 100 * 100)
+            worth = abs(held) * own
+            cash -= worth + worth * 0.002
+        else:
+            worth *= 1 + np.sign(held) * (o[t] / o[t - 1] - 1)
+    return worth + cash - 100_000.0
+
+
+def test_all_pairs_equal_a_walk_row_by_row(spark):
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for code, days in (("1", 230), ("2", 120), ("3", 9)):
+        c = np.round(3000 * np.exp(np.cumsum(rng.normal(0, 0.02, days)))).astype(int).tolist()
+        o = [max(1, x + int(rng.integers(-20, 20))) for x in c]
+        rows += [(code, k, o[k], c[k]) for k in range(days)]
+        for s in grid_search.SLOW:
+            for f in grid_search.FAST:
+                if f < s and (x := brute_returns(o, c, f, s)) is not None:
+                    want[code, f, s] = x
+    df = spark.createDataFrame(rows, "code string, day int, o long, c long")
+    got = {(r["code"], r["period_fast"], r["period_slow"]): r["total_returns"] for r in grid_search.grid_returns(df).collect()}
+    assert got.keys() == want.keys() and sum(k[0] == "1" for k in got) == 780
+    assert all(got[k] == pytest.approx(want[k], abs=1e-3) for k in want)
+    best = {r["code"]: (r["period_fast"], r["period_slow"]) for r in grid_search.best_pairs(grid_search.grid_returns(df)).collect()}
+    assert all(got[code, *p] == max(v for k, v in got.items() if k[0] == code) for code, p in best.items())
